@@ -77,8 +77,8 @@ n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
 pairs AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2),
 e AS (SELECT u, v FROM pairs JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
 e2 AS (SELECT u, v FROM e UNION ALL SELECT v, u FROM e),
-r AS (SELECT doc_id, doc_id AS at FROM documents UNION SELECT r.doc_id, e2.v FROM r JOIN e2 ON r.at = e2.u),
-c AS (SELECT doc_id, min(at) AS component_id FROM r GROUP BY doc_id)
+r AS (SELECT doc_id, doc_id AS hit FROM documents UNION SELECT r.doc_id, e2.v FROM r JOIN e2 ON r.hit = e2.u),
+c AS (SELECT doc_id, min(hit) AS component_id FROM r GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)
 """
 
