@@ -1,8 +1,8 @@
 """License scans by ordered signature rules, in DataFrame operations only.
 
-A rule is a regular expression over the text in lower case (A to Z), a keyword that any match holds, a label, a priority
-and a confidence. A text is searched for a rule only if it holds the rule's keyword, and for any rule only if it holds one of a
-few anchors. Of the matches, one that lies within another of higher priority (or of the same priority and longer, or of the
+A rule is a regular expression over the text in lower case, a keyword that any match holds, a label, a priority
+and a confidence. A text is searched for a rule only if it holds the rule's keyword, and for any rule only if one of its
+words is an anchor. Of the matches, one that lies within another of higher priority (or of the same priority and longer, or of the
 same place and a label that sorts first) is suppressed. All work stays in a document's row: no shuffle, no Python.
 
 Besides, the places of three plain phrases are counted over words (runs of digits, letters a to z and characters beyond
@@ -129,8 +129,18 @@ def rules() -> list[dict]:
     return out
 
 
-#: Every rule's matches hold one of these.
-ANCHORS = ["licen", "copyright", "spdx", "public domain", "creative commons", "creativecommons", "cc by", "cc-by", "cc0", "cc ", "gpl", "fdl", "mpl", "epl", "cpl", "cddl", "eupl", "osl", "afl", "bsl", "bsd", "ofl", "ms-", "zpl", "psf", "lppl", "cecill", "mulan", "ncsa", "apache", "asl", "artistic", "attribution", "hereby granted", "permission", "redistribut", "as is", "as-is", "neither the name", "advertising materials", "unencumbered", "rights reserved", "proprietary", "may not be", "not evil", "beer", "odbl", "pddl", "rail", "under "]
+#: Words of which a text must hold one to be searched at all: those of licenses' names and notices, and short names with versions.
+NOTICE_WORDS = "license licence licensed licenced licenses licences licensing licensor licensee sublicense relicensed copyright spdx released distributed available redistribution redistribute permission warranty unencumbered unlicense proprietary confidential reserved contributors advertising domain commons creativecommons attribution cc cc0 bsd 0bsd beerware beer evil".split()
+
+
+def anchors() -> list[str]:
+    out = set(NOTICE_WORDS)
+    for _, _, _, shorts, versions in FAMILIES:
+        for word in {w for s in shorts for w in s.split("-")[0].split()} - {"mit", "php", "gnu"}:
+            out |= {word} | {f"{word}{v}{n.split('.')[0]}" for v in ("", "v") for n in versions if n}
+    return sorted(out)
+
+
 _MATCH = "array<struct<start:int,end:int,priority:int,label:string,confidence:double>>"
 _SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _BASE_KEY = "license"
@@ -181,20 +191,24 @@ def _base(ws: Column) -> Column:
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches) for each row of docs."""
-    table = F.from_json(F.lit(json.dumps(rules())), "array<struct<label:string,regex:string,keyword:string,priority:int,confidence:double>>")
-    low = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    step = docs.select("doc_id", low.alias("low"))
-    anchored = F.col("low").contains(ANCHORS[0])
-    for anchor in ANCHORS[1:]:
-        anchored = anchored | F.col("low").contains(anchor)
-    found = _bind(F.col("low"), lambda t: F.flatten(F.transform(F.filter(table, lambda r: F.contains(t, r["keyword"])), lambda r: _places(t, r))))
-    pieces = F.split("low", _SEPARATOR, -1)
-    ws = F.filter(pieces, lambda w: w != "")
+    grouped: dict[str, list[dict]] = {}
+    for rule in rules():
+        grouped.setdefault(rule["keyword"], []).append(rule)
+    by_key = F.from_json(F.lit(json.dumps(grouped)), "map<string,array<struct<label:string,regex:string,keyword:string,priority:int,confidence:double>>>")
+    keys = F.array(*map(F.lit, grouped))
+    # lower() beyond A to Z changes neither where words end nor whether they equal a phrase
+    step = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("low"))
+    step = step.select("doc_id", "low", F.split("low", _SEPARATOR, -1).alias("pieces"))
+    present = lambda t: F.filter(keys, lambda k: F.contains(t, k))
+    applied = lambda t: F.flatten(F.transform(present(t), lambda k: F.element_at(by_key, k)))
+    found = _bind(F.col("low"), lambda t: F.flatten(F.transform(applied(t), lambda r: _places(t, r))))
+    edge = lambda i: (F.get("pieces", i) == "").cast("int")
+    count = F.size("pieces") - edge(F.lit(0)) - F.when(F.size("pieces") > 1, edge(F.size("pieces") - 1)).otherwise(0)
     step = step.select(
         "doc_id",
-        _bind(pieces, lambda p: (F.size(p) - (F.get(p, F.lit(0)) == "").cast("int") - ((F.size(p) > 1) & (F.get(p, F.size(p) - 1) == "")).cast("int")).cast("long")).alias("n_words"),
-        F.when(F.col("low").contains(_BASE_KEY), _base(ws)).otherwise(F.expr("cast(array() as array<struct<at:bigint,label:string>>)")).alias("base"),
-        F.when(anchored, _kept(found)).otherwise(F.expr(f"cast(array() as {_MATCH})")).alias("matches"),
+        count.cast("long").alias("n_words"),
+        F.when(F.array_contains("pieces", _BASE_KEY), _base(F.filter("pieces", lambda w: w != ""))).otherwise(F.expr("cast(array() as array<struct<at:bigint,label:string>>)")).alias("base"),
+        F.when(F.arrays_overlap("pieces", F.array(*map(F.lit, anchors()))), _kept(found)).otherwise(F.expr(f"cast(array() as {_MATCH})")).alias("matches"),
     )
     named = lambda a: F.transform(a, lambda x: x["label"])
     joined = lambda a: F.array_join(F.array_sort(F.array_distinct(a)), ",")
