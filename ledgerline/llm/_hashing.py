@@ -19,6 +19,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(1 << 20))
 _BASE = 0x5851F42D4C957F2D
+_STEP = np.uint64(0xD1342543DE82EF95)
 _powers = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64)}
 
 
@@ -54,19 +55,19 @@ def shingles(hashes: np.ndarray, owner: np.ndarray, n_texts: int, k: int) -> tup
     if len(hashes) >= k:
         n = len(hashes) - k + 1
         whole = owner[:n] == owner[k - 1 :]
-        acc = np.zeros(n, dtype=np.uint64)
-        for j in range(k):
-            acc = mix(acc ^ hashes[j : j + n]) if j else mix(hashes[:n])
-        windows, owners = acc[whole], owner[:n][whole]
+        acc = hashes[:n].copy()
+        for j in range(1, k):
+            acc = acc * _STEP + hashes[j : j + n]
+        windows, owners = mix(acc[whole]), owner[:n][whole]
     else:
         windows, owners = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=owner.dtype)
     if short.any():
         extra = []
         for t in np.flatnonzero(short):
-            acc = np.uint64(0)
-            for j in range(count[t]):
-                acc = mix(np.array([acc ^ hashes[first[t] + j] if j else hashes[first[t]]], dtype=np.uint64))[0]
-            extra.append(acc)
+            acc = hashes[first[t] : first[t] + 1].copy()
+            for j in range(1, count[t]):
+                acc = acc * _STEP + hashes[first[t] + j]
+            extra.append(mix(acc + np.uint64(count[t]))[0])
         windows = np.concatenate((windows, np.array(extra, dtype=np.uint64)))
         owners = np.concatenate((owners, np.flatnonzero(short)))
         order = np.argsort(owners, kind="stable")

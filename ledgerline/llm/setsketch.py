@@ -6,10 +6,11 @@ floor(1 - log_b(min)) within [0, Q + 1]); such registers merge by maximum and ag
 more often the more alike they are. Bands of registers give candidate pairs, a likelihood estimate from the
 registers of both sides drops those that are far off, and the full sets decide.
 
-Work stays linear in a bucket's size: each bucket is compared with one centre (drawn by hash, so another one in
-each band), the links found are contracted, and only members of a bucket that still lie in different parts are
-compared with each other. So no link between different parts of a bucket is skipped, and a bucket of copies costs
-one comparison a member.
+Work stays near linear in a bucket's size: each bucket is compared with its member that meets most others over all bands,
+the links found are contracted, and only members of a bucket that still lie in different parts are looked at further. For
+those, shingles that no other of them holds are counted out: what is left bounds any intersection, and pairs that
+cannot reach the threshold by this bound are never formed. Both steps are exact: no link between different parts of a
+bucket is skipped. A bucket of copies costs one comparison a member.
 
 Defined results: a null text is like an empty one: it has no shingles and is linked with nothing. Rows with a null
 doc_id take no part. Repeated rows give repeated results. Other columns, whatever their names, are not read. An
@@ -130,6 +131,28 @@ def _sketcher(k: int):
     return run
 
 
+def _grams(k: int):
+    """A row for each distinct shingle of each text."""
+
+    def run(batches):
+        for batch in chunks(batches):
+            texts = [t.lower() for t in texts_of(batch)]
+            hashes, _, _, owner = words(texts)
+            found, count = _distinct(*shingles(hashes, owner, len(texts), k))
+            ids = batch.column(batch.schema.get_field_index("doc_id")).take(pa.array(np.repeat(np.arange(len(texts)), count)))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(found.astype(np.int64))], names=["doc_id", "gram"])
+
+    return run
+
+
+def _shared_counts(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, shared): how many distinct shingles of each of those documents another of them holds as well."""
+    texts = docs.join(sized(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    grams = map_arrow(texts, _grams(k), "doc_id long, gram long")
+    common = grams.groupBy("gram").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("gram")
+    return grams.join(common, "gram").groupBy("doc_id").agg(F.count("*").alias("shared"))
+
+
 def _likely(threshold: float):
     def run(batches):
         for batch in batches:
@@ -195,9 +218,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     reps = Stash(sketch.read().join(firsts, ["doc_id", "s1", "s2", "n"], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n", "regs", "odd", "bands"))
 
     bands = reps.read().select("doc_id", F.explode("bands").alias("key"))
-    rank = F.struct(F.xxhash64("key", "doc_id").alias("r"), F.col("doc_id").alias("id"))
-    centres = bands.groupBy("key").agg(F.count("*").alias("size"), F.min(rank)["id"].alias("centre")).where("size > 1").select("key", "centre")
-    members = Stash(bands.join(centres, "key"))
+    sizes = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    crowded = Stash(bands.join(sizes, "key"))
+    weight = Stash(crowded.read().groupBy("doc_id").agg(F.sum("size").alias("weight")))
+    weighed = crowded.read().join(sized(weight.read()), "doc_id").select("key", "doc_id", "weight")
+    # the order of (weight, id) as two plain maxima, which aggregate in hash tables
+    heaviest = weighed.groupBy("key").agg(F.max("weight").alias("most"))
+    centres = weighed.join(heaviest, "key").where("weight = most").groupBy("key").agg(F.min("doc_id").alias("centre"))
+    members = Stash(crowded.read().select("key", "doc_id").join(centres, "key"))
     star = members.read().where("doc_id <> centre").select(F.least("doc_id", "centre").alias("u"), F.greatest("doc_id", "centre").alias("v")).distinct()
     tried = Stash(star)
     links = _confirm(tried.read(), reps.read(), docs, k, percent)
@@ -206,13 +234,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     part = members.read().join(first.read().withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("comp", "doc_id").alias("comp"))
     part = Stash(part)
     open_ = part.read().groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    rest = Stash(part.read().join(open_, "key").join(reps.read().select("doc_id", "n", "odd"), "doc_id"))
-    a, b = (rest.read().select("key", F.col("doc_id").alias(x), F.col("comp").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("odd").alias(f"o{x}")) for x in "uv")
+    open_part = Stash(part.read().join(open_, "key"))
+    shared = Stash(_shared_counts(open_part.read().select("doc_id").distinct(), docs, k))
+    # an intersection with any other is at most `shared`, a union at least n: those below the threshold have no links
+    able = reps.read().join(sized(shared.read()), "doc_id").where(f"100 * shared >= {percent} * n").select("doc_id", "n", "odd", "shared")
+    rest = Stash(open_part.read().join(able, "doc_id"))
+    a, b = (rest.read().select("key", F.col("doc_id").alias(x), F.col("comp").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("odd").alias(f"o{x}"), F.col("shared").alias(f"s{x}")) for x in "uv")
     words_ = -(-M // 64)
     unlike = sum((F.bit_count(F.get("ou", F.lit(i)).bitwiseXOR(F.get("ov", F.lit(i)))) for i in range(words_)), F.lit(0))
     # equal registers give equal bits, others a fair coin: at a similarity s, M * (1 - s) / 2 bits differ on average
     most = M * (1 - percent / 100 + MARGIN) / 2 + 4
     fits = (F.col("cu") != F.col("cv")) & (F.col("u") < F.col("v")) & (100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")) & (unlike <= most)
+    least = F.least("su", "sv")
+    fits = fits & (100 * least >= percent * (F.col("nu") + F.col("nv") - least))
     more = a.join(b, (a["key"] == b["key"]) & fits).select("u", "v").distinct().join(tried.read(), ["u", "v"], "left_anti")
     late = _confirm(Stash(more).read(), reps.read(), docs, k, percent)
 
@@ -223,7 +257,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     named = Stash(named.select("s1", "s2", F.col("n").alias("cn"), F.coalesce("comp", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
     rows, named = sketch.read().select("doc_id", "n", "s1", "s2"), named.read().withColumnsRenamed({"s1": "c1", "s2": "c2"})
     out = rows.join(named, (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n") == F.col("cn")), "left")
-    for x in (bands, members, tried, part, rest):
-        if isinstance(x, Stash):
-            x.drop()
+    for x in (crowded, weight, members, tried, part, open_part, shared, rest):
+        x.drop()
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
