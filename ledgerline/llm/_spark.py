@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Rows of narrow tables (ids, counts) up to which a side is broadcast after it has been counted.
 BROADCAST_ROWS = 200_000
+#: Rows that one file of a narrow table holds about, and the least number of files.
+FILE_ROWS, LEAST_FILES = 100_000, 6
 #: Bytes of text that one numpy pass takes at a time.
 CHUNK_BYTES = 3 << 20
 
@@ -66,13 +68,13 @@ def _remove_late(spark: SparkSession, path: str) -> None:
 
 
 class Stash:
-    """A table written to the shared folder, which cuts lineage and outlives executors."""
+    """A table written to the shared folder, which cuts lineage and outlives executors. rows: about how many narrow rows there are at most, for as few files as they need."""
 
-    def __init__(self, df: DataFrame):
+    def __init__(self, df: DataFrame, rows: int | None = None):
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/stash-{uuid.uuid4().hex}"
         self.schema = df.schema
-        df.write.parquet(self.path)
+        (df if rows is None else df.coalesce(max(LEAST_FILES, -(-rows // FILE_ROWS)))).write.parquet(self.path)
         atexit.register(_remove_late, self.spark, self.path)
 
     def read(self) -> DataFrame:
@@ -109,24 +111,24 @@ def texts_of(batch, column: str = "text") -> list[bytes]:
     return [x or b"" for x in col.cast(pa.binary()).to_pylist()]
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, comp): every id that has an edge (u, v), with the smallest id of its connected part.
+def components(edges: DataFrame, rows: int) -> DataFrame:
+    """(id, comp): every id that has an edge (u, v), with the smallest id of its connected part. rows: about how many edges there are at most.
 
     Each round every part joins the neighbour that comes first in an order drawn anew (a random order
     makes chains shrink by a constant factor), and links inside a part go. Rounds end when no link is left.
     """
-    live = Stash(edges.select("u", "v").where("u <> v").distinct())
-    ids = Stash(live.read().select(F.explode(F.array("u", "v")).alias("id")).distinct().withColumn("comp", F.col("id")))
+    live = Stash(edges.select("u", "v").where("u <> v").distinct(), rows)
+    ids = Stash(live.read().select(F.explode(F.array("u", "v")).alias("id")).distinct().withColumn("comp", F.col("id")), rows)
     turn = 0
-    while live.read().limit(1).count():
+    while count := live.read().count():
         turn += 1
         rank = lambda c, n=turn: F.struct(F.xxhash64(F.lit(n), c).alias("r"), F.col(c).alias("id"))
         both = live.read().select(F.explode(F.array(F.struct(F.col("u").alias("a"), F.col("v").alias("b")), F.struct(F.col("v").alias("a"), F.col("u").alias("b")))).alias("e")).select("e.*")
-        to = Stash(both.groupBy("a").agg(F.min(rank("b")).alias("m")).select("a", F.least(rank("a"), "m")["id"].alias("p")))
+        to = Stash(both.groupBy("a").agg(F.min(rank("b")).alias("m")).select("a", F.least(rank("a"), "m")["id"].alias("p")), count)
         up = sized(to.read())
-        new = Stash(ids.read().join(up, F.col("comp") == F.col("a"), "left").select("id", F.coalesce("p", "comp").alias("comp")))
+        new = Stash(ids.read().join(up, F.col("comp") == F.col("a"), "left").select("id", F.coalesce("p", "comp").alias("comp")), rows)
         moved = live.read().join(up.withColumnsRenamed({"a": "ua", "p": "up"}), F.col("u") == F.col("ua")).join(up.withColumnsRenamed({"a": "va", "p": "vp"}), F.col("v") == F.col("va"))
-        left = Stash(moved.where("up <> vp").select(F.least("up", "vp").alias("u"), F.greatest("up", "vp").alias("v")).distinct())
+        left = Stash(moved.where("up <> vp").select(F.least("up", "vp").alias("u"), F.greatest("up", "vp").alias("v")).distinct(), count)
         for old in (live, ids, to):
             old.drop()
         live, ids = left, new

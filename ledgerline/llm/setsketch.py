@@ -186,13 +186,13 @@ def _sure(k: int, percent: int):
     return run
 
 
-def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> Stash:
+def _confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int, rows: int) -> Stash:
     """Those pairs (u, v) of representatives whose full sets are alike enough."""
     side = lambda x, y: reps.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{y}"), F.col("regs").alias(f"r{y}"))
     close = pairs.join(side("u", "a"), "u").join(side("v", "b"), "v")
     close = close.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
-    near = Stash(map_arrow(close.select("u", "v", "na", "nb", "ra", "rb"), _likely(percent / 100), "u long, v long"))
-    ids = Stash(near.read().select(F.explode(F.array("u", "v")).alias("doc_id")).distinct())
+    near = Stash(map_arrow(close.select("u", "v", "na", "nb", "ra", "rb"), _likely(percent / 100), "u long, v long"), rows)
+    ids = Stash(near.read().select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), rows)
     # the same doc_id can stand in several rows; the smallest text stands for it everywhere
     texts = Stash(docs.join(sized(ids.read()), "doc_id", "left_semi"))
     texts_in = lambda x, y: texts.read().groupBy("doc_id").agg(F.min("text").alias(y)).withColumnRenamed("doc_id", x)
@@ -212,33 +212,34 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     """
     docs = docs.select("doc_id", "text").where("doc_id is not null")
     sketch = Stash(map_arrow(docs, _sketcher(k), "doc_id long, n long, s1 long, s2 long, regs binary, odd array<long>, bands array<long>"))
+    rows = sketch.read().count()
     narrow = sketch.read().where("n > 0").select("doc_id", "s1", "s2", "n")
-    classes = Stash(narrow.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep")))
+    classes = Stash(narrow.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep")), rows)
     firsts = classes.read().select(F.col("rep").alias("doc_id"), "s1", "s2", "n")
     reps = Stash(sketch.read().join(firsts, ["doc_id", "s1", "s2", "n"], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n", "regs", "odd", "bands"))
 
     bands = reps.read().select("doc_id", F.explode("bands").alias("key"))
     sizes = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    crowded = Stash(bands.join(sizes, "key"))
-    weight = Stash(crowded.read().groupBy("doc_id").agg(F.sum("size").alias("weight")))
+    crowded = Stash(bands.join(sizes, "key"), 4 * rows)
+    weight = Stash(crowded.read().groupBy("doc_id").agg(F.sum("size").alias("weight")), rows)
     weighed = crowded.read().join(sized(weight.read()), "doc_id").select("key", "doc_id", "weight")
     # the order of (weight, id) as two plain maxima, which aggregate in hash tables
     heaviest = weighed.groupBy("key").agg(F.max("weight").alias("most"))
     centres = weighed.join(heaviest, "key").where("weight = most").groupBy("key").agg(F.min("doc_id").alias("centre"))
-    members = Stash(crowded.read().select("key", "doc_id").join(centres, "key"))
+    members = Stash(crowded.read().select("key", "doc_id").join(centres, "key"), 4 * rows)
     star = members.read().where("doc_id <> centre").select(F.least("doc_id", "centre").alias("u"), F.greatest("doc_id", "centre").alias("v")).distinct()
-    tried = Stash(star)
-    links = _confirm(tried.read(), reps.read(), docs, k, percent)
-    first = Stash(components(links.read()))
+    tried = Stash(star, rows)
+    links = _confirm(tried.read(), reps.read(), docs, k, percent, rows)
+    first = Stash(components(links.read(), rows), rows)
 
     part = members.read().join(first.read().withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("comp", "doc_id").alias("comp"))
-    part = Stash(part)
+    part = Stash(part, 4 * rows)
     open_ = part.read().groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    open_part = Stash(part.read().join(open_, "key"))
-    shared = Stash(_shared_counts(open_part.read().select("doc_id").distinct(), docs, k))
+    open_part = Stash(part.read().join(open_, "key"), 4 * rows)
+    shared = Stash(_shared_counts(open_part.read().select("doc_id").distinct(), docs, k), rows)
     # an intersection with any other is at most `shared`, a union at least n: those below the threshold have no links
     able = reps.read().join(sized(shared.read()), "doc_id").where(f"100 * shared >= {percent} * n").select("doc_id", "n", "odd", "shared")
-    rest = Stash(open_part.read().join(able, "doc_id"))
+    rest = Stash(open_part.read().join(able, "doc_id"), 4 * rows)
     a, b = (rest.read().select("key", F.col("doc_id").alias(x), F.col("comp").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("odd").alias(f"o{x}"), F.col("shared").alias(f"s{x}")) for x in "uv")
     words_ = -(-M // 64)
     unlike = sum((F.bit_count(F.get("ou", F.lit(i)).bitwiseXOR(F.get("ov", F.lit(i)))) for i in range(words_)), F.lit(0))
@@ -248,15 +249,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     least = F.least("su", "sv")
     fits = fits & (100 * least >= percent * (F.col("nu") + F.col("nv") - least))
     more = a.join(b, (a["key"] == b["key"]) & fits).select("u", "v").distinct().join(tried.read(), ["u", "v"], "left_anti")
-    late = _confirm(Stash(more).read(), reps.read(), docs, k, percent)
+    late = _confirm(Stash(more, rows).read(), reps.read(), docs, k, percent, rows)
 
-    every = Stash(links.read().unionByName(late.read()))
-    labels = components(every.read()) if late.read().limit(1).count() else first.read()
+    every = Stash(links.read().unionByName(late.read()), rows)
+    labels = components(every.read(), rows) if late.read().limit(1).count() else first.read()
     degree = every.read().select(F.explode(F.array("u", "v")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
     named = classes.read().join(labels.withColumnRenamed("id", "rep"), "rep", "left").join(degree, "rep", "left")
-    named = Stash(named.select("s1", "s2", F.col("n").alias("cn"), F.coalesce("comp", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    rows, named = sketch.read().select("doc_id", "n", "s1", "s2"), named.read().withColumnsRenamed({"s1": "c1", "s2": "c2"})
-    out = rows.join(named, (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n") == F.col("cn")), "left")
+    named = Stash(named.select("s1", "s2", F.col("n").alias("cn"), F.coalesce("comp", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")), rows)
+    each, named = sketch.read().select("doc_id", "n", "s1", "s2"), named.read().withColumnsRenamed({"s1": "c1", "s2": "c2"})
+    out = each.join(named, (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n") == F.col("cn")), "left")
     for x in (crowded, weight, members, tried, part, open_part, shared, rest):
         x.drop()
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
