@@ -67,9 +67,9 @@ def adj_close(bars, actions):
     return _r(_r(out, 6, "close"), 10, "adj_factor")
 
 
-@_query(f"WITH {_SPLITS}, u AS (SELECT b.ticker, b.date, coalesce(product(s.ratio), 1) AS up FROM bars b LEFT JOIN splits s ON s.ticker = b.ticker AND s.ex_date > b.date GROUP BY 1, 2) SELECT b.ticker, b.date, round(b.close * up, 6) AS close, CAST(round(b.volume / up) AS BIGINT) AS volume FROM bars b JOIN u USING (ticker, date)", ("bars", "actions"))
+@_query(f"WITH {_SPLITS}, u AS (SELECT b.ticker, b.date, coalesce(product(s.ratio), 1) AS up FROM bars b LEFT JOIN splits s ON s.ticker = b.ticker AND s.ex_date > b.date GROUP BY 1, 2) SELECT b.ticker, b.date, b.close * up AS close, CAST(round(b.volume / up) AS BIGINT) AS volume FROM bars b JOIN u USING (ticker, date)", ("bars", "actions"))
 def as_traded(bars, actions):
-    return _r(adjust.as_traded(bars, actions), 6, "close")
+    return adjust.as_traded(bars, actions)
 
 
 _MAD = """r AS (SELECT *, ln(close) - ln(lag(close) OVER (PARTITION BY ticker ORDER BY date)) AS r FROM bars),
