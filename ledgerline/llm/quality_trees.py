@@ -133,7 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     known = labels.select("doc_id", F.col("label").cast("double").alias("y")).where("doc_id is not null and y is not null")
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample).groupBy("doc_id").agg(F.avg("y").alias("y")).withColumn("y", F.round("y"))
     found = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("y", "text")
-    rows = map_arrow(found, _features, "y double, x array<double>").limit(2 * sample).toPandas()
+    rows = map_arrow(found, _features, "y double, x array<double>").limit(2 * sample).toArrow().to_pandas()
     if not len(rows):
         return fit(np.zeros((0, len(FEATURES))), np.zeros(0))
     return fit(np.stack(rows["x"].to_numpy()), rows["y"].to_numpy())

@@ -8,9 +8,9 @@ registers of both sides drops those that are far off, and the full sets decide.
 
 Work stays near linear in a bucket's size: each bucket is compared with its member that meets most others over all bands,
 the links found are contracted, and only members of a bucket that still lie in different parts are looked at further. For
-those, shingles that no other of them holds are counted out: what is left bounds any intersection, and pairs that
-cannot reach the threshold by this bound are never formed. Both steps are exact: no link between different parts of a
-bucket is skipped. A bucket of copies costs one comparison a member.
+those, shingles that no other of them holds are counted out, and what is left bounds any intersection. A pair that could
+still reach the threshold either shares a shingle that few of them hold, and is found by that, or shares common ones only,
+and then its bound counts only those. These steps are exact: no link between different parts of a bucket is skipped. A bucket of copies costs one comparison a member.
 
 Defined results: a null text is like an empty one: it has no shingles and is linked with nothing. Rows with a null
 doc_id take no part. Repeated rows give repeated results. Other columns, whatever their names, are not read. An
@@ -35,6 +35,8 @@ M = BANDS * ROWS
 BASE, RATE, Q = 1.001, 20.0, (1 << 16) - 2
 #: The estimate has a standard deviation of about 0.03 at a similarity of 0.8; pairs this far below the threshold go.
 MARGIN = 0.22
+#: Shingles that at most so many documents hold are rare.
+RARE = 8
 
 
 def registers(windows: np.ndarray, owner: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -145,12 +147,12 @@ def _grams(k: int):
     return run
 
 
-def _shared_counts(ids: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, shared): how many distinct shingles of each of those documents another of them holds as well."""
+def _shared(ids: DataFrame, docs: DataFrame, k: int) -> Stash:
+    """(doc_id, gram, rare): the distinct shingles of those documents that another of them holds as well; rare: at most RARE hold it."""
     texts = docs.join(sized(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
     grams = map_arrow(texts, _grams(k), "doc_id long, gram long")
-    common = grams.groupBy("gram").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("gram")
-    return grams.join(common, "gram").groupBy("doc_id").agg(F.count("*").alias("shared"))
+    common = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
+    return Stash(grams.join(common, "gram").select("doc_id", "gram", (F.col("df") <= RARE).alias("rare")))
 
 
 def _likely(threshold: float):
@@ -236,19 +238,29 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     part = Stash(part, 4 * rows)
     open_ = part.read().groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     open_part = Stash(part.read().join(open_, "key"), 4 * rows)
-    shared = Stash(_shared_counts(open_part.read().select("doc_id").distinct(), docs, k), rows)
+    grams = _shared(open_part.read().select("doc_id").distinct(), docs, k)
+    counts = Stash(grams.read().groupBy("doc_id").agg(F.count("*").alias("shared"), F.count_if(~F.col("rare")).alias("common")), rows)
     # an intersection with any other is at most `shared`, a union at least n: those below the threshold have no links
-    able = reps.read().join(sized(shared.read()), "doc_id").where(f"100 * shared >= {percent} * n").select("doc_id", "n", "odd", "shared")
-    rest = Stash(open_part.read().join(able, "doc_id"), 4 * rows)
-    a, b = (rest.read().select("key", F.col("doc_id").alias(x), F.col("comp").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("odd").alias(f"o{x}"), F.col("shared").alias(f"s{x}")) for x in "uv")
+    able = reps.read().join(sized(counts.read()), "doc_id").where(f"100 * shared >= {percent} * n").select("doc_id", "n", "odd", "shared", "common")
+    able = Stash(able.join(part.read().select("doc_id", "comp").distinct(), "doc_id"), rows)
     words_ = -(-M // 64)
     unlike = sum((F.bit_count(F.get("ou", F.lit(i)).bitwiseXOR(F.get("ov", F.lit(i)))) for i in range(words_)), F.lit(0))
     # equal registers give equal bits, others a fair coin: at a similarity s, M * (1 - s) / 2 bits differ on average
     most = M * (1 - percent / 100 + MARGIN) / 2 + 4
-    fits = (F.col("cu") != F.col("cv")) & (F.col("u") < F.col("v")) & (100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")) & (unlike <= most)
-    least = F.least("su", "sv")
-    fits = fits & (100 * least >= percent * (F.col("nu") + F.col("nv") - least))
-    more = a.join(b, (a["key"] == b["key"]) & fits).select("u", "v").distinct().join(tried.read(), ["u", "v"], "left_anti")
+    enough = lambda c: 100 * F.least(f"{c}u", f"{c}v") >= percent * (F.col("nu") + F.col("nv") - F.least(f"{c}u", f"{c}v"))
+    # a pair either shares a rare shingle, or all that it shares is common, and so bounded by the common ones of each
+    near = lambda c: (F.col("cu") != F.col("cv")) & (F.col("u") < F.col("v")) & (100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")) & (unlike <= most) & enough(c)
+    sides = lambda df, *keep: (df.select(*keep, *(F.col(c).alias(f"{y}{x}" if y else x) for c, y in (("doc_id", ""), ("comp", "c"), ("n", "n"), ("odd", "o"), ("shared", "s"), ("common", "g")))) for x in "uv")
+    rest = Stash(open_part.read().select("key", "doc_id").join(able.read(), "doc_id"), 4 * rows)
+    a, b = sides(rest.read(), "key")
+    alike = a.join(b, (a["key"] == b["key"]) & near("g")).select("u", "v")
+    rare = Stash(grams.read().where("rare").select("doc_id", "gram").join(able.read().select("doc_id", "comp", "n", "shared", "common"), "doc_id"))
+    both = [rare.read().select("gram", F.col("doc_id").alias(x), *(F.col(c).alias(f"{y}{x}") for c, y in (("comp", "c"), ("n", "n"), ("shared", "s"), ("common", "g")))) for x in "uv"]
+    fits = (F.col("cu") != F.col("cv")) & (F.col("u") < F.col("v")) & (100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")) & enough("s") & ~enough("g")
+    met = both[0].join(both[1], (both[0]["gram"] == both[1]["gram"]) & fits).groupBy("u", "v").agg(F.count("*").alias("r"), F.min(F.least("gu", "gv")).alias("g"), F.min(F.col("nu") + F.col("nv")).alias("nn"))
+    # what they share: their rare shingles in common, counted here, and common ones
+    held = met.where(f"100 * (g + r) >= {percent} * (nn - g - r)").select("u", "v")
+    more = alike.unionByName(held).distinct().join(tried.read(), ["u", "v"], "left_anti")
     late = _confirm(Stash(more, rows).read(), reps.read(), docs, k, percent, rows)
 
     every = Stash(links.read().unionByName(late.read()), rows)
@@ -258,6 +270,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     named = Stash(named.select("s1", "s2", F.col("n").alias("cn"), F.coalesce("comp", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")), rows)
     each, named = sketch.read().select("doc_id", "n", "s1", "s2"), named.read().withColumnsRenamed({"s1": "c1", "s2": "c2"})
     out = each.join(named, (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n") == F.col("cn")), "left")
-    for x in (crowded, weight, members, tried, part, open_part, shared, rest):
+    for x in (crowded, weight, members, tried, part, open_part, grams, counts, able, rest, rare):
         x.drop()
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
