@@ -21,6 +21,10 @@ FILE_ROWS, LEAST_FILES = 100_000, 6
 #: Bytes of text that one numpy pass takes at a time.
 CHUNK_BYTES = 3 << 20
 
+#: Rows of an Arrow batch: texts of some kilobytes each would otherwise fill tens of megabytes on both sides of the pipe.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _own_dir: list[str] = []
 
 
@@ -42,6 +46,8 @@ _shipped: set[str] = set()
 def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
     """df.mapInArrow, with this package sent to the executors first, which need not have it installed."""
     sc = df.sparkSession.sparkContext
+    if df.sparkSession.conf.get(_BATCH, "10000") == "10000":  # Spark's default; a setting of the user's stays
+        df.sparkSession.conf.set(_BATCH, str(BATCH_ROWS))
     if sc.applicationId not in _shipped:
         _shipped.add(sc.applicationId)
         root = Path(__file__).resolve().parents[1]
