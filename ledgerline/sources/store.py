@@ -33,10 +33,10 @@ def write_raw(df: DataFrame, root: str, provider: str, dataset: str, run_id: str
 
 def current(spark: SparkSession, table: str) -> str | None:
     """The folder of the table's current version."""
-    fs, pointer = _fs(spark, f"{table}/_current")
+    fs, pointer = _fs(spark, f"{table}/CURRENT")
     if not fs.exists(pointer):
         return None
-    return f"{table}/{spark.read.text(f'{table}/_current').first()[0]}"
+    return f"{table}/{spark.read.text(f'{table}/CURRENT').first()[0]}"
 
 
 def read_table(spark: SparkSession, table: str, schema: str | None = None) -> DataFrame:
@@ -70,8 +70,8 @@ def upsert(df: DataFrame, table: str, keys: list[str], partition: str | None = N
 
 def point(spark: SparkSession, table: str, version: str) -> None:
     """Makes a version the current one: a new pointer beside the old, then a rename over it."""
-    fs, pointer = _fs(spark, f"{table}/_current")
-    _, fresh = _fs(spark, f"{table}/_next-{version}")
+    fs, pointer = _fs(spark, f"{table}/CURRENT")
+    _, fresh = _fs(spark, f"{table}/NEXT-{version}")
     stream = fs.create(fresh, True)
     stream.write(bytearray(version.encode()))
     stream.close()
