@@ -61,10 +61,11 @@ def dividend_asof(bars, actions):
     return adjust.dividend_asof(bars, actions)
 
 
-@_query(f"WITH {_FACTORS} SELECT b.ticker, b.date, round(b.close * split_factor * div_factor, 6) AS close, b.close AS close_raw, CAST(round(b.volume / split_factor) AS BIGINT) AS volume, round(split_factor * div_factor, 10) AS adj_factor FROM bars b JOIN sf USING (ticker, date) JOIN df USING (ticker, date)", ("bars", "actions"))
+@_query(f"WITH {_FACTORS} SELECT b.ticker, b.date, round(b.close * split_factor * div_factor + 1e-9, 6) AS close, b.close AS close_raw, CAST(round(b.volume / split_factor) AS BIGINT) AS volume, round(split_factor * div_factor, 10) AS adj_factor FROM bars b JOIN sf USING (ticker, date) JOIN df USING (ticker, date)", ("bars", "actions"))
 def adj_close(bars, actions):
     out = adjust.adjusted_view(bars, adjust.adjustment_factors(bars, actions))
-    return _r(_r(out, 6, "close"), 10, "adj_factor")
+    # prices of few decimals lie on ties, which engines round either way; a nudge beyond them settles it
+    return _r(_r(out.withColumn("close", F.col("close") + 1e-9), 6, "close"), 10, "adj_factor")
 
 
 @_query(f"WITH {_SPLITS}, u AS (SELECT b.ticker, b.date, coalesce(product(s.ratio), 1) AS up FROM bars b LEFT JOIN splits s ON s.ticker = b.ticker AND s.ex_date > b.date GROUP BY 1, 2) SELECT b.ticker, b.date, b.close * up AS close, CAST(round(b.volume / up) AS BIGINT) AS volume FROM bars b JOIN u USING (ticker, date)", ("bars", "actions"))
