@@ -250,10 +250,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     enough = lambda c: 100 * F.least(f"{c}u", f"{c}v") >= percent * (F.col("nu") + F.col("nv") - F.least(f"{c}u", f"{c}v"))
     # a pair either shares a rare shingle, or all that it shares is common, and so bounded by the common ones of each
     near = lambda c: (F.col("cu") != F.col("cv")) & (F.col("u") < F.col("v")) & (100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")) & (unlike <= most) & enough(c)
-    sides = lambda df, *keep: (df.select(*keep, *(F.col(c).alias(f"{y}{x}" if y else x) for c, y in (("doc_id", ""), ("comp", "c"), ("n", "n"), ("odd", "o"), ("shared", "s"), ("common", "g")))) for x in "uv")
-    rest = Stash(open_part.read().select("key", "doc_id").join(able.read(), "doc_id"), 4 * rows)
+    sides = lambda df, *keep: (df.select(*keep, *(F.col(c).alias(f"{y}{x}" if y else x) for c, y in (("doc_id", ""), ("comp", "c"), ("n", "n"), ("odd", "o"), ("shared", "s"), ("common", "g"), ("keys", "k")))) for x in "uv")
+    # at most BANDS keys each; a pair that shares several of them is made under the smallest alone
+    keys = open_part.read().groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    rest = Stash(open_part.read().select("key", "doc_id").join(able.read().join(keys, "doc_id"), "doc_id"), 4 * rows)
     a, b = sides(rest.read(), "key")
-    alike = a.join(b, (a["key"] == b["key"]) & near("g")).select("u", "v")
+    least = F.array_min(F.array_intersect("ku", "kv"))
+    alike = a.join(b, (a["key"] == b["key"]) & near("g") & (a["key"] == least)).select("u", "v")
     rare = Stash(grams.read().where("rare").select("doc_id", "gram").join(able.read().select("doc_id", "comp", "n", "shared", "common"), "doc_id"))
     both = [rare.read().select("gram", F.col("doc_id").alias(x), *(F.col(c).alias(f"{y}{x}") for c, y in (("comp", "c"), ("n", "n"), ("shared", "s"), ("common", "g")))) for x in "uv"]
     fits = (F.col("cu") != F.col("cv")) & (F.col("u") < F.col("v")) & (100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")) & enough("s") & ~enough("g")
