@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -61,7 +61,7 @@ def scorer(load: Callable[[], Callable[[list[str]], list[float]]], batch: int =
     """A column function text -> double. load() makes the model, once in each Python worker; it takes lists of at most `batch` texts. Null texts have no score."""
 
     @F.pandas_udf("double")
-    def score(parts):
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
         for texts in parts:
             there = texts.dropna()
@@ -70,7 +70,6 @@ def scorer(load: Callable[[], Callable[[list[str]], list[float]]], batch: int =
                 found += list(model([str(t) for t in there.iloc[i : i + batch]]))
             yield pd.Series(found, index=there.index, dtype="float64").reindex(texts.index)
 
-    score.func.__annotations__ = {}
     return score
 
 

@@ -14,7 +14,7 @@ from ledgerline.operators.tables import ghosts
 
 #: Plan nodes that only read. A node that isn't here is rejected, so new commands of later Spark versions are too.
 READS = {
-    "Aggregate", "Distinct", "Except", "Filter", "Generate", "GlobalLimit", "Intersect", "Join", "LateralJoin", "LocalLimit", "Offset", "OneRowRelation",
+    "Aggregate", "Distinct", "Except", "Filter", "Generate", "GlobalLimit", "Intersect", "Join", "LateralJoin", "LocalLimit", "LocalRelation", "Offset", "OneRowRelation",
     "Pivot", "Project", "Sample", "Sort", "SubqueryAlias", "Union", "UnresolvedHaving", "UnresolvedInlineTable", "UnresolvedRelation", "UnresolvedSubqueryColumnAliases",
     "UnresolvedWith", "Unpivot", "UnresolvedTVFAliases", "UnresolvedTableValuedFunction", "Window", "WithWindowDefinition",
 }
@@ -46,19 +46,19 @@ def guard(spark: SparkSession, sql: str, views: set[str] | None = None) -> str:
         raise Rejected("empty statement")
     known = {v.lower() for v in (views if views is not None else {t.name for t in spark.catalog.listTables() if t.isTemporary})}
     try:
-        todo = [(spark._jsparkSession.sessionState().sqlParser().parsePlan(text), frozenset())]
+        # what stands where a plan stands is judged as one, whatever package its class is in
+        todo = [(spark._jsparkSession.sessionState().sqlParser().parsePlan(text), frozenset(), True)]
     except PySparkException as e:
         raise Rejected(f"no single statement of SQL: {str(e).splitlines()[0]}") from e
     while todo:
-        node, own = todo.pop()
+        node, own, is_plan = todo.pop()
         kind = node.getClass().getSimpleName()
-        is_plan = ".plans.logical." in node.getClass().getName() or kind in READS
         if is_plan and kind not in READS:
             raise Rejected(f"only reading queries are allowed, not {kind}")
         if kind == "UnresolvedWith":
             names = [str(r._1()).lower() for r in _items(node.cteRelations())]
             own = own | frozenset(names)
-            todo += [(r._2(), own) for r in _items(node.cteRelations())]
+            todo += [(r._2(), own, True) for r in _items(node.cteRelations())]
         elif kind == "UnresolvedRelation":
             parts = _name(node.multipartIdentifier())
             if len(parts) != 1 or parts[0].lower() not in known | own:
@@ -69,13 +69,15 @@ def guard(spark: SparkSession, sql: str, views: set[str] | None = None) -> str:
             raise Rejected(f"function not allowed in FROM: {_name(node.name())[-1]}")
         elif kind in ("UnresolvedGenerator",) and str(node.name().funcName()).lower() in NO_CALLS:
             raise Rejected(f"function not allowed: {node.name().funcName()}")
-        if not is_plan and kind in ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery"):
-            todo.append((node.plan(), own))
-        todo += [(c, own) for c in _items(node.children())]
+        elif not is_plan and "UnresolvedIdentifier" in kind:
+            raise Rejected("IDENTIFIER is not allowed")
+        if not is_plan and (kind in ("Exists", "ListQuery") or "Subquery" in kind and kind != "InSubquery"):
+            todo.append((node.plan(), own, True))
+        todo += [(c, own, is_plan) for c in _items(node.children())]
         if is_plan:
-            todo += [(e, own) for e in _items(node.expressions().toIndexedSeq())]
+            todo += [(e, own, False) for e in _items(node.expressions().toIndexedSeq())]
             if kind == "LateralJoin":
-                todo.append((node.right().plan(), own))
+                todo.append((node.right().plan(), own, True))
     return text
 
 
