@@ -349,6 +349,120 @@ def trading_day(spark, sf_dir):
     return news.trading_day(ev, both).select("event_id", "ticker", "date")
 
 
+_LISTED = "SELECT upper(substr(replace(p_name, ' ', ''), 1, 6)) AS ticker, trim(p_name) AS security_name, CASE WHEN p_partkey % 3 = 0 THEN 'N' WHEN p_partkey % 3 = 1 THEN 'A' ELSE 'V' END AS exchange, p_brand AS cqs_symbol, 'N' AS etf, CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS round_lot_size, 'N' AS test_issue, CAST(p_partkey AS VARCHAR) AS nasdaq_symbol FROM part"
+
+
+def _listed(spark, sf_dir):
+    """The parts as lines of a directory file, with a header, a blank line and a footer."""
+    from ledgerline.sources import files
+
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    code = F.when(F.col("p_partkey") % 3 == 0, "N").when(F.col("p_partkey") % 3 == 1, "A").otherwise("V")
+    lot = F.when(F.col("p_partkey") % 17 == 0, "n/a").otherwise(F.col("p_size").cast("string"))
+    ticker = F.upper(F.substr(F.replace("p_name", F.lit(" "), F.lit("")), F.lit(1), F.lit(6)))
+    lines = part.select(F.concat_ws("|", ticker, F.concat(F.lit("  "), "p_name", F.lit(" ")), code, "p_brand", F.lit("N"), lot, F.lit("N"), F.col("p_partkey").cast("string")).alias("value"))
+    header = "|".join(files.OTHER)
+    return files.listing(lines.union(spark.createDataFrame([(header,), ("",), ("File Creation Time: 01012024|||||||",)], "value string")), header, files.OTHER)
+
+
+@_query(_LISTED)
+def listing_parse(spark, sf_dir):
+    return _listed(spark, sf_dir)
+
+
+@_query(f"SELECT DISTINCT CASE exchange WHEN 'N' THEN 'NYSE' ELSE 'AMEX' END AS index_name, ticker FROM ({_LISTED}) WHERE exchange IN ('N', 'A') AND NOT regexp_matches(lower(security_name), 'warrant|right|unit|preferred|notes|debenture|bond') AND regexp_full_match(ticker, '[A-Z]{{1,5}}|[A-Z]{{6}}')")
+def exchange_rosters(spark, sf_dir):
+    from ledgerline.sources import files
+
+    common = ~F.col("security_name").rlike(f"(?i){tables.NOT_COMMON}") & F.col("ticker").rlike("^[A-Z]{1,6}$")
+    return files.rosters(_listed(spark, sf_dir), common)
+
+
+@_query("SELECT upper(concat('v', CAST(l_suppkey AS VARCHAR))) AS ticker, CAST(l_shipdate AS DATE) AS ex_date, t AS action_type, CASE t WHEN 'dividend' THEN l_discount ELSE l_tax END AS value FROM lineitem, (SELECT unnest(['dividend', 'split']) AS t) WHERE CASE t WHEN 'dividend' THEN l_discount ELSE l_tax END > 0")
+def history_actions(spark, sf_dir):
+    from ledgerline.sources import vendors
+
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return vendors.history_actions(items.select(F.concat(F.lit("v"), F.col("l_suppkey").cast("string")).alias("ticker"), F.col("l_shipdate").alias("Date"), F.col("l_discount").alias("Dividends"), F.col("l_tax").alias("Stock Splits")))
+
+
+@_query("SELECT upper(concat('v', CAST(l_suppkey AS VARCHAR))) AS ticker, CAST(l_shipdate AS DATE) AS date, l_extendedprice AS open, l_extendedprice AS high, l_extendedprice AS low, l_extendedprice AS close, CASE WHEN l_linenumber % 2 = 0 THEN 0 ELSE CAST(l_quantity AS BIGINT) END AS volume FROM lineitem WHERE l_linenumber % 3 <> 0")
+def bulk_bars(spark, sf_dir):
+    from ledgerline.sources import vendors
+
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    price = F.when(F.col("l_linenumber") % 3 == 0, "none").otherwise(F.col("l_extendedprice").cast("string"))
+    raw = items.select(F.concat(F.lit("v"), F.col("l_suppkey").cast("string")).alias("code"), F.col("l_shipdate").alias("date"), *(price.alias(c) for c in vendors.PRICES), F.when(F.col("l_linenumber") % 2 != 0, F.col("l_quantity").cast("string")).alias("volume"))
+    return vendors.bulk_bars(raw)
+
+
+@_query("""WITH e AS (SELECT upper(event_type) AS ticker, to_timestamp(floor(epoch(ts) / 60) * 60)::TIMESTAMP AS t, CAST(event_id % 500 AS DOUBLE) AS p, CAST(event_id % 90 AS BIGINT) AS v FROM events WHERE event_id % 7 <> 0),
+m AS (SELECT ticker, t, min((p, v)) AS x FROM e GROUP BY 1, 2), l AS (SELECT *, (t AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS local FROM m)
+SELECT ticker, CAST(epoch(t) AS BIGINT) AS at, x[1] AS open, x[1] AS high, x[1] AS low, x[1] AS close, x[2] AS volume, CASE WHEN extract(hour FROM local) * 60 + extract(minute FROM local) BETWEEN 570 AND 959 THEN 'rth' ELSE 'ext' END AS segment FROM l""")
+def intraday_bars(spark, sf_dir):
+    from ledgerline.sources import vendors
+
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    minute = (F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 60) * 60).cast("long")
+    raw = ev.select(F.col("event_type").alias("ticker"), minute.alias("timestamp"), *((F.col("event_id") % 500).cast("double").alias(c) for c in vendors.PRICES), F.when(F.col("event_id") % 7 != 0, F.col("event_id") % 90).cast("long").alias("volume"))
+    return vendors.intraday_bars(raw).select("ticker", F.unix_timestamp("ts").alias("at"), *vendors.PRICES, "volume", "segment")
+
+
+@_query("""WITH w AS (SELECT provider, dataset, ticker, max(CAST(started_at AS DATE)) AS high FROM manifest WHERE status = 'ok' GROUP BY 1, 2, 3), k AS (SELECT DISTINCT provider, dataset, ticker FROM manifest),
+p AS (SELECT k.*, CASE WHEN high IS NULL THEN DATE '1995-01-02' ELSE coalesce((SELECT min(session) FROM sessions WHERE session > high AND high BETWEEN (SELECT min(session) FROM sessions) AND (SELECT max(session) FROM sessions)), high + 1) END AS start FROM k LEFT JOIN w USING (provider, dataset, ticker))
+SELECT provider, dataset, ticker, CAST(start AS DATE) AS start, DATE '1998-06-01' AS "end" FROM p WHERE start <= DATE '1998-06-01'""", ("manifest", "sessions"))
+def fetch_plan(manifest, sessions):
+    from ledgerline.functions import calendar
+    from ledgerline.operators import ingest
+
+    marks = manifest.where("status = 'ok'").groupBy("provider", "dataset", "ticker").agg(F.max(F.col("started_at").cast("date")).alias("high_water_date"))
+    return ingest.fetch_plan(manifest, marks, calendar.calendar_map(sessions), "1995-01-02", "1998-06-01")
+
+
+@_query("""WITH v AS (SELECT unnest(['c_custkey', 'c_mktsegment', 'c_nationkey']) AS "column", unnest([CAST(c_custkey AS VARCHAR), c_mktsegment, CAST(c_nationkey AS VARCHAR)]) AS x, unnest([c_custkey, NULL, c_nationkey]) AS n FROM customer),
+k AS (SELECT "column", x, row_number() OVER (PARTITION BY "column" ORDER BY n, x) AS r FROM (SELECT DISTINCT * FROM v)) SELECT "column", max(CASE WHEN r = 1 THEN x END) AS example_1, max(CASE WHEN r = 2 THEN x END) AS example_2 FROM k GROUP BY 1""")
+def column_examples(spark, sf_dir):
+    from ledgerline.plans import gate
+
+    return gate.examples(spark.read.parquet(f"{sf_dir}/customer.parquet"), ["c_custkey", "c_mktsegment", "c_nationkey"]).drop("type")
+
+
+@_query("SELECT concat('C', CAST(c_custkey AS VARCHAR)) AS ticker, 'c_acctbal' AS \"column\", c_acctbal + c_custkey % 3 * 100 AS value, c_acctbal AS actual, abs(c_acctbal - (c_acctbal + c_custkey % 3 * 100)) <= greatest(abs(c_acctbal) * 0.01, 1e-9) AS ok FROM customer WHERE c_custkey % 2 = 0")
+def spot_check(spark, sf_dir):
+    from ledgerline.plans import gate
+
+    facts = spark.read.parquet(f"{sf_dir}/customer.parquet").withColumn("ticker", F.concat(F.lit("C"), F.col("c_custkey").cast("string")))
+    cited = facts.where("c_custkey % 2 = 0").select(F.lower("ticker").alias("ticker"), F.lit("c_acctbal").alias("column"), (F.col("c_acctbal") + F.col("c_custkey") % 3 * 100).alias("value"))
+    return gate.spot_check(cited, facts.select("ticker", "c_acctbal"))
+
+
+_GATED = "WITH s AS (SELECT ticker, date, close, 'drop table' AS word FROM bars) SELECT ticker, word, count(*) AS n, max(close) AS top FROM s WHERE close > 0 GROUP BY ticker, word"
+
+
+@_query(_GATED, ("bars",))
+def gated_sql(bars):
+    from ledgerline.plans import gate
+
+    spark = bars.sparkSession
+    bars.createOrReplaceTempView("bars")
+    return spark.sql(gate.guard(spark, _GATED, {"bars"}))
+
+
+@_query("SELECT doc_id, CASE WHEN trim(coalesce(source, '')) = '' THEN coalesce(nullif(trim(lang), ''), '') WHEN trim(coalesce(lang, '')) = '' THEN trim(source) ELSE concat(trim(source), '. ', trim(lang)) END AS text FROM documents")
+def article_text(spark, sf_dir):
+    from ledgerline.operators import ingest
+
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", ingest.article_text("source", "lang").alias("text"))
+
+
+@_query()
+def synthetic_bars(spark, sf_dir):
+    from ledgerline.sources import synthetic
+
+    synthetic.register(spark)
+    return spark.read.format("synthetic_bars").options(tickers="AAA,BBB,CCC", start="2022-01-01", end="2023-12-31", seed="7", batch="1").load()
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)
 
