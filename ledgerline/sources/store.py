@@ -1,15 +1,19 @@
 """The lake: immutable raw payloads, versioned curated tables with upsert by key, and append-only logs.
 
-A curated table is a folder of version folders and a pointer file that names the current one. A writer makes a new version
-and then swaps the pointer by a rename, so that readers see one version or the other, and a writer that dies leaves the old one.
+A curated table is a folder of data and a log of numbered versions. A version is a small file that names the folders, one
+for each partition, which make up the table, and its schema. A writer writes new folders for the partitions that it
+touches, then adds the next number: readers see one version or the other, untouched partitions are neither read nor
+written, and a writer that dies leaves the last version as it was. Of two writers at once the later one fails and can be repeated.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline.operators.dedupe import latest_wins
 
@@ -31,53 +35,95 @@ def write_raw(df: DataFrame, root: str, provider: str, dataset: str, run_id: str
     return path
 
 
-def current(spark: SparkSession, table: str) -> str | None:
-    """The folder of the table's current version."""
-    fs, pointer = _fs(spark, f"{table}/CURRENT")
-    if not fs.exists(pointer):
-        return None
-    return f"{table}/{spark.read.text(f'{table}/CURRENT').first()[0]}"
+def _names(fs, pattern) -> list:
+    return [x.getPath() for x in fs.globStatus(pattern) or []]
+
+
+def current(spark: SparkSession, table: str) -> tuple[int, dict]:
+    """(number, version) of the table's newest version; (0, {}) if there is none. A version: schema, and parts by partition folder."""
+    fs, log = _fs(spark, f"{table}/_log/[0-9]*")
+    numbers = [int(p.getName()) for p in _names(fs, log)]
+    if not numbers:
+        return 0, {}
+    last = max(numbers)
+    return last, json.loads("".join(r[0] for r in spark.read.text(f"{table}/_log/{last:020d}", wholetext=True).collect()))
+
+
+def _read(spark: SparkSession, table: str, version: dict, parts: dict[str, str]) -> DataFrame:
+    schema = StructType.fromJson(version["schema"])
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{table}/data").parquet(*(f"{table}/data/{p}" for p in parts.values())).select(schema.names)
 
 
 def read_table(spark: SparkSession, table: str, schema: str | None = None) -> DataFrame:
-    """The current version; a table that isn't there is empty."""
-    path = current(spark, table)
-    if path is None:
-        return spark.createDataFrame([], schema or "none string")
-    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
+    """The newest version; a table that isn't there is empty. Rows written before a column came hold null in it."""
+    _, version = current(spark, table)
+    if version:
+        return _read(spark, table, version, version["parts"])
+    return spark.createDataFrame([], schema or "none string")
 
 
 def upsert(df: DataFrame, table: str, keys: list[str], partition: str | None = None, by: str | None = None) -> dict[str, int]:
-    """Merges df by key, incoming rows winning; of incoming rows with one key the last by `by` stays. Gives rows_in, rows_new and rows_replaced."""
+    """Merges df by key, incoming rows winning; of incoming rows with one key the last by `by` stays. Gives rows_in, rows_new and rows_replaced.
+
+    partition: a column that the key determines (the year of its date); only partitions that have incoming rows are
+    read and written anew. Its distinct values are held on the driver, as are the names of the table's partitions.
+    """
     spark = df.sparkSession
-    incoming = latest_wins(df, keys, by, [c for c in df.columns if c != by]) if by else df.dropDuplicates(keys)
-    n = incoming.count()
-    if not n:
-        return {"rows_in": 0, "rows_new": 0, "rows_replaced": 0}
-    old = current(spark, table)
-    before = spark.read.parquet(old) if old else None
-    replaced = before.join(incoming.select(*keys), keys, "left_semi").count() if old else 0
-    out = merged(before, incoming, keys) if old else incoming
-    version = f"v-{uuid.uuid4().hex}"
-    if partition:
-        out = out.repartition(F.col(partition)).sortWithinPartitions(*keys)
-        out.write.partitionBy(partition).parquet(f"{table}/{version}")
-    else:
-        out.sortWithinPartitions(*keys).write.parquet(f"{table}/{version}")
-    point(spark, table, version)
-    return {"rows_in": n, "rows_new": n - replaced, "rows_replaced": replaced}
-
-
-def point(spark: SparkSession, table: str, version: str) -> None:
-    """Makes a version the current one: a new pointer beside the old, then a rename over it."""
-    fs, pointer = _fs(spark, f"{table}/CURRENT")
-    _, fresh = _fs(spark, f"{table}/NEXT-{version}")
-    stream = fs.create(fresh, True)
-    stream.write(bytearray(version.encode()))
+    incoming = (latest_wins(df, keys, by, [c for c in df.columns if c != by]) if by else df.dropDuplicates(keys)).persist()
+    try:
+        values = [r[0] for r in incoming.select(partition).distinct().collect()] if partition else []
+        n = incoming.count()
+        if not n:
+            return {"rows_in": 0, "rows_new": 0, "rows_replaced": 0}
+        number, old = current(spark, table)
+        held, out = 0, incoming
+        if old:
+            before = _read(spark, table, old, old["parts"])
+            if partition:
+                touched = F.col(partition).isin([v for v in values if v is not None])
+                before = before.where(touched | F.col(partition).isNull() if None in values else touched)
+            held, out = before.count(), merged(before, incoming, keys)
+        name = uuid.uuid4().hex
+        # the hint lets a large partition have many writers and small ones share one
+        spread = out.hint("rebalance", partition).sortWithinPartitions(partition, *keys) if partition else out.hint("rebalance").sortWithinPartitions(*keys)
+        cols = [partition, "__v"] if partition else ["__v"]
+        spread.withColumn("__v", F.lit(name)).write.partitionBy(*cols).mode("append").parquet(f"{table}/data")
+        fs, found = _fs(spark, f"{table}/data/{'*/' if partition else ''}__v={name}")
+        parts = {p.getParent().getName() if partition else "": f"{p.getParent().getName()}/{p.getName()}" if partition else p.getName() for p in _names(fs, found)}
+        version = {"schema": out.schema.jsonValue(), "parts": (old.get("parts", {}) if partition else {}) | parts}
+        written = _read(spark, table, version, parts).count()
+        _commit(spark, table, number + 1, version)
+        return {"rows_in": n, "rows_new": written - held, "rows_replaced": held + n - written}
+    finally:
+        incoming.unpersist()
+
+
+def _commit(spark: SparkSession, table: str, number: int, version: dict) -> None:
+    """Adds a version under a number that nobody has taken: the whole file first, under another name, then a rename."""
+    fs, fresh = _fs(spark, f"{table}/_log/.{uuid.uuid4().hex}")
+    stream = fs.create(fresh, False)
+    stream.write(bytearray(json.dumps(version).encode()))
     stream.close()
-    if fs.exists(pointer):
-        fs.delete(pointer, False)
-    fs.rename(fresh, pointer)
+    _, there = _fs(spark, f"{table}/_log/{number:020d}")
+    if fs.exists(there) or not fs.rename(fresh, there):
+        fs.delete(fresh, False)
+        raise RuntimeError(f"another writer made version {number} of {table}; repeat the upsert")
+
+
+def vacuum(spark: SparkSession, table: str) -> int:
+    """Removes data that the newest version doesn't name, and gives the number of folders; only while nobody writes or reads an older version."""
+    _, version = current(spark, table)
+    keep, gone = set(version.get("parts", {}).values()), 0
+    for pattern, depth in ((f"{table}/data/__v=*", 1), (f"{table}/data/*/__v=*", 2)):
+        fs, found = _fs(spark, pattern)
+        for path in _names(fs, found):
+            name = path.getName() if depth == 1 else f"{path.getParent().getName()}/{path.getName()}"
+            if name not in keep:
+                fs.delete(path, True)
+                gone += 1
+    return gone
 
 
 def append_log(df: DataFrame, log: str) -> None:
