@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 import zlib
 from collections.abc import Iterator
 from datetime import date
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -67,6 +69,8 @@ REGISTRY: dict[str, type[DataSource]] = {"synthetic_bars": SyntheticBars}
 def register(spark, name: str = "synthetic_bars") -> None:
     if name not in REGISTRY:
         raise KeyError(f"unknown source {name}; known: {sorted(REGISTRY)}")
+    for module in {REGISTRY[name].__module__, session_days.__module__}:
+        cloudpickle.register_pickle_by_value(sys.modules[module])  # workers need not have this package installed
     spark.dataSource.register(REGISTRY[name])
 
 
