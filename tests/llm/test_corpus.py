@@ -100,6 +100,33 @@ def test_passages_are_found_and_cut(spark):
     assert passage in cut[1] and not any(passage.split()[30] in cut[i].split() for i in (3, 5, 7)) and cut[0] == rows[0][1]
 
 
+def covered(found, n):
+    """Words of each document that found passages hold."""
+    out = {i: np.zeros(k, bool) for i, k in n.items()}
+    for r in found:
+        out[r.doc_id][r.start : r.start + r.n_words] = True
+    return out
+
+
+def test_long_stretches_that_repeat_themselves_are_passages(spark):
+    line = prose(31, 12, vocabulary(31))
+    twice = prose(32, 70, vocabulary(32))
+    own = lambda i, n: prose(500 + i, n, vocabulary(500 + i))
+    rows = [(0, f"{own(0, 37)} {' '.join([line] * 200)} {own(1, 30)}", "s"), (1, f"{own(2, 80)} {' '.join([line] * 200)} {own(3, 30)}", "s")]
+    rows += [(5, f"{own(4, 60)} {twice}", "s"), (6, f"{twice} {own(5, 300)} {twice} {own(6, 20)}", "s")]
+    found = compact_windows.repeated_passages(docs(spark, rows)).collect()
+    hit = covered(found, {i: len(t.split()) for i, t, _ in rows})
+    assert hit[1][80:2480].all() and not hit[1][:70].any() and not hit[0].any()
+    assert hit[6][:70].all() and hit[6][370:440].all()
+
+
+def test_places_of_a_chunks_first_document_all_go_on():
+    key, doc, place = np.array([5, 5, 5, 9]), np.array([1, 1, 2, 2]), np.array([10, 400, 30, 7])
+    got = compact_windows._led(key, doc, place).to_pylist()
+    assert [(r["key"], r["doc"], r["at"], r["at2"]) for r in got if r["at2"] < 0] == [(5, 1, 10, -1), (5, 1, 400, -1), (9, 2, 7, -1)]
+    assert [(r["doc"], r["at"], r["doc2"], r["at2"]) for r in got if r["at2"] >= 0] == [(2, 30, 1, 10)]
+
+
 def test_centres_are_window_minima():
     values = np.random.default_rng(2).integers(0, 50, 300).astype(np.uint64)
     want = set()
