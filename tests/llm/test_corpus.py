@@ -127,6 +127,38 @@ def test_places_of_a_chunks_first_document_all_go_on():
     assert [(r["doc"], r["at"], r["doc2"], r["at2"]) for r in got if r["at2"] >= 0] == [(2, 30, 1, 10)]
 
 
+def test_passages_with_inserted_and_deleted_words(spark):
+    rows, want = [], {}
+    for i in range(12):
+        base = prose(600 + i, 60, vocabulary(600 + i)).split()
+        edited = list(base)
+        if i % 3 == 0:
+            edited.insert(30, "inserted")
+        elif i % 3 == 1:
+            del edited[30]
+        else:
+            edited[20:20] = ["two", "more"]
+        grams = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (base, edited)]
+        if 100 * len(grams[0] & grams[1]) >= 80 * len(grams[0] | grams[1]):
+            want[2 * i + 1] = len(edited)
+        for k, t in enumerate((base, edited)):
+            rows.append((2 * i + k, f"{prose(700 + 2 * i + k, 40, vocabulary(700 + 2 * i + k))} {' '.join(t)} {prose(800 + 2 * i + k, 40, vocabulary(800 + 2 * i + k))}", "s"))
+    hit = covered(compact_windows.repeated_passages(docs(spark, rows)).collect(), {i: len(t.split()) for i, t, _ in rows})
+    assert len(want) == 12
+    # two hash functions: a passage at 80 to 90 percent shares a key with high probability, not always
+    whole = [i for i, n in want.items() if hit[i][40 : 40 + n].all()]
+    assert len(whole) >= 10 and not any(hit[i].any() for i in hit if i not in want)
+    assert all(not hit[i][:35].any() and not hit[i][40 + n + 5 :].any() for i, n in want.items())
+
+
+def test_stretches_pass_over_gaps():
+    a = np.arange(100, 160).astype(np.uint16)
+    b = np.insert(a, 30, 7)
+    assert compact_windows.stretch(a, b, 5, 5) == (0, 60, 0) == compact_windows.stretch(a, b, 50, 51)
+    assert compact_windows.stretch(b, a, 50, 49) == (0, 61, 0)
+    assert compact_windows.stretch(a[:49], b[:50], 5, 5) is None
+
+
 def test_centres_are_window_minima():
     values = np.random.default_rng(2).integers(0, 50, 300).astype(np.uint64)
     want = set()
