@@ -47,6 +47,14 @@ def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return hashes, starts, ends, np.searchsorted(first, starts, side="right") - 1
 
 
+def rolling(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the k words from each place on, whichever texts they are of; places with fewer than k words left have none."""
+    total = np.zeros(len(hashes) + 1, dtype=np.uint64)
+    np.cumsum(hashes * _power("up", len(hashes)), out=total[1:])
+    n = max(0, len(hashes) - k + 1)
+    return mix((total[k : k + n] - total[:n]) * _power("down", n))
+
+
 def shingles(hashes: np.ndarray, owner: np.ndarray, n_texts: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each text's windows of k words, in order, and how many each text has. A text with fewer words has one window, all of it; without words none."""
     count = np.bincount(owner, minlength=n_texts)

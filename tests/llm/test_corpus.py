@@ -159,6 +159,25 @@ def test_stretches_pass_over_gaps():
     assert compact_windows.stretch(a[:49], b[:50], 5, 5) is None
 
 
+def test_passages_that_the_first_document_holds_in_part(spark):
+    rows = []
+    for g in range(40):
+        passage = prose(900 + g, 50, vocabulary(900 + g)).split()
+        for k, n in enumerate((45 if g % 2 else 40, 50, 50)):
+            own = [prose(3000 + 6 * g + 2 * k + s, 30, vocabulary(3000 + 6 * g + 2 * k + s)) for s in (0, 1)]
+            rows.append((3 * g + k, f"{own[0]} {' '.join(passage[:n])} {own[1]}", "s"))
+    hit = covered(compact_windows.repeated_passages(docs(spark, rows)).collect(), {i: len(t.split()) for i, t, _ in rows})
+    assert all(hit[3 * g + 2][30:80].all() for g in range(40))
+    # brute force: words of all stretches of 50 words that an earlier document holds
+    seen, want = {}, {i: np.zeros(len(t.split()), bool) for i, t, _ in rows}
+    for i, t, _ in rows:
+        w = t.split()
+        for s in range(len(w) - 49):
+            if seen.setdefault(tuple(w[s : s + 50]), i) != i:
+                want[i][s : s + 50] = True
+    assert all(hit[i][want[i]].all() for i in want)
+
+
 def test_centres_are_window_minima():
     values = np.random.default_rng(2).integers(0, 50, 300).astype(np.uint64)
     want = set()
