@@ -1,8 +1,8 @@
 """License scans by ordered signature rules, in DataFrame operations only.
 
 A rule is a regular expression over the text in lower case, a keyword that any match holds, a label, a priority
-and a confidence. A text is searched for a rule only if it holds the rule's keyword, and for any rule only if one of its
-words is an anchor. Of the matches, one that lies within another of higher priority (or of the same priority and longer, or of the
+and a confidence. A text is searched for a rule only if it holds the rule's keyword, and for any rule only if it
+holds one of the strings that all matches hold. Of the matches, one that lies within another of higher priority (or of the same priority and longer, or of the
 same place and a label that sorts first) is suppressed. All work stays in a document's row: no shuffle, no Python.
 
 Besides, the places of three plain phrases are counted over words (runs of digits, letters a to z and characters beyond
@@ -129,16 +129,22 @@ def rules() -> list[dict]:
     return out
 
 
-#: Words of which a text must hold one to be searched at all: those of licenses' names and notices, and short names with versions.
-NOTICE_WORDS = "license licence licensed licenced licenses licences licensing licensor licensee sublicense relicensed copyright spdx released distributed available redistribution redistribute permission warranty unencumbered unlicense proprietary confidential reserved contributors advertising domain commons creativecommons attribution cc cc0 bsd 0bsd beerware beer evil".split()
+#: Strings of which each rule's matches hold one, but for those of short names with versions.
+NOTICES = ["licen", "released under", "distributed under", "available under", "cecill", "cc by", "cc-by", "attribution", "commons", *dict.fromkeys(key for _, _, key in TEXTS)]
 
 
-def anchors() -> list[str]:
-    out = set(NOTICE_WORDS)
-    for _, _, _, shorts, versions in FAMILIES:
-        for word in {w for s in shorts for w in s.split("-")[0].split()} - {"mit", "php", "gnu"}:
-            out |= {word} | {f"{word}{v}{n.split('.')[0]}" for v in ("", "v") for n in versions if n}
-    return sorted(out)
+def short_names() -> str:
+    """A regular expression that finds where a short name with a version may begin."""
+    names = "|".join(sorted({s for *_, shorts, versions in FAMILIES if versions != [""] for s in shorts}))
+    return rf"(?<![0-9a-z])(?:{names})(?: licen[sc]e)?[ -]?(?:version |v\.? ?)?[0-9]"
+
+
+def searched(text: Column) -> Column:
+    """Whether any rule can match: strings are looked for anywhere, as matches need not begin or end where words do."""
+    out = text.rlike(short_names())
+    for notice in reversed(NOTICES):
+        out = F.contains(text, F.lit(notice)) | out
+    return out
 
 
 _MATCH = "array<struct<start:int,end:int,priority:int,label:string,confidence:double>>"
@@ -208,7 +214,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         "doc_id",
         count.cast("long").alias("n_words"),
         F.when(F.array_contains("pieces", _BASE_KEY), _base(F.filter("pieces", lambda w: w != ""))).otherwise(F.expr("cast(array() as array<struct<at:bigint,label:string>>)")).alias("base"),
-        F.when(F.arrays_overlap("pieces", F.array(*map(F.lit, anchors()))), _kept(found)).otherwise(F.expr(f"cast(array() as {_MATCH})")).alias("matches"),
+        F.when(searched(F.col("low")), _kept(found)).otherwise(F.expr(f"cast(array() as {_MATCH})")).alias("matches"),
     )
     named = lambda a: F.transform(a, lambda x: x["label"])
     joined = lambda a: F.array_join(F.array_sort(F.array_distinct(a)), ",")

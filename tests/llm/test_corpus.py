@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -194,6 +195,22 @@ def test_license_labels_and_places(spark):
     assert (got[1].n_base, got[1].first_word, got[1].last_word, got[1].n_words) == (2, 1, 4, 6)
 
 
+def test_licenses_beside_other_characters(spark):
+    texts = {"See \u201cApache License\u201d.": "apache", "under GPLv3\u2014see": "gpl-3", "\u8bb8\u53efApache License\u8bb8\u53ef": "apache", "Mozilla Public LicenseV2": "mpl,mpl-2.0", "xBSD-3-Clausey": "bsd-3-clause", "MPL 2.0\u3002": "mpl-2.0"}
+    got = {r.doc_id: r for r in licenses.scan_licenses(docs(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    for i, (t, labels) in enumerate(texts.items()):
+        assert set(labels.split(",")) & set(got[i].labels.split(",")), t
+    assert all(got[i].score > 0.5 for i in got)
+    # each rule's plainest match passes
+    shapes = [r["regex"] for r in licenses.rules()]
+    plain = [re.sub(r"\(\?<?!.*?\)", "", x) for x in shapes]
+    plain = [x for x in (re.sub(r"\[(.)[^\]]*\]", r"\1", re.sub(r"\(\?:([^()|]*)(?:\|[^()]*)?\)[?*]?", r"\1", x)) for x in plain) if x.isascii()]
+    texts = [t for x, shape in zip(plain, shapes) for t in [x.replace(" *", " ").replace("\\.", ".").replace("\\(", "").replace("\\+?", "").replace("?", "").replace("*", "")] if re.search(shape, t)]
+    assert len(texts) > 300
+    d = spark.createDataFrame([(t,) for t in texts], "low string")
+    assert d.where(~licenses.searched(F.col("low"))).collect() == []
+
+
 def test_forward_backward_in_blocks_is_exact():
     rng = np.random.default_rng(4)
     scores, links, sizes = rng.normal(size=(700, 3)), rng.normal(size=(3, 3)), np.array([1, 300, 64, 65, 270])
