@@ -26,37 +26,30 @@ from ledgerline.llm._hashing import mix, words
 from ledgerline.llm._spark import Stash, chunks, map_arrow, texts_of
 
 PER_LANGUAGE = 250
-BITS, LONGEST = 17, 24
+BITS = 17
 STRETCH, STRETCHES, MINIBATCH, RATE, DECAY = 24, 9000, 48, 0.25, 1e-5
 BLOCK = 64
 
 
 def features(kinds: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(word index, weight row) of all features of distinct words; words over LONGEST bytes are known by both ends."""
-    cut = [w if len(w) <= LONGEST else w[: LONGEST // 2] + w[-LONGEST // 2 :] for w in kinds]
-    size = np.array([len(w) for w in cut], np.int64)
-    grid = np.zeros((len(cut), LONGEST + 2), np.uint64)
-    grid[:, 0] = 2
-    flat = np.frombuffer(b"".join(cut), np.uint8)
-    row = np.repeat(np.arange(len(cut)), size)
-    col = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
-    grid[row, col + 1] = flat
-    grid[np.arange(len(cut)), size + 1] = 3
+    """(word index, weight row) of all features of distinct words, over their full length."""
+    flat = np.frombuffer(b"".join([b"\2" + w + b"\3" for w in kinds]), np.uint8).astype(np.uint64)
+    size = np.array([len(w) + 2 for w in kinds], np.int64)
+    begin = np.cumsum(size) - size
+    word = np.repeat(np.arange(len(kinds)), size)
     owner, ids = [], []
 
     def put(which, value, kind):
         owner.append(which)
         ids.append((mix(value * np.uint64(64) + np.uint64(kind)) >> np.uint64(64 - BITS)).astype(np.int64))
 
-    acc = grid
+    acc = flat
     for n in (2, 3, 4):  # n-grams over the marked word: those at its ends are its affixes
-        acc = acc[:, :-1] * np.uint64(257) + grid[:, n - 1 :]
-        which, at = np.nonzero(np.arange(acc.shape[1])[None, :] + n <= size[:, None] + 2)
-        put(which, acc[which, at], n)
-    whole = np.zeros(len(cut), np.uint64)
-    for j in range(grid.shape[1]):
-        whole = mix(whole ^ grid[:, j])
-    put(np.arange(len(cut)), whole, 9)
+        acc = acc[:-1] * np.uint64(257) + flat[n - 1 :]
+        at = np.flatnonzero(word[: len(acc)] == word[n - 1 :])
+        put(word[at], acc[at], n)
+    place = (np.arange(len(flat)) - begin[word]).astype(np.uint64)
+    put(np.arange(len(kinds)), mix(np.add.reduceat(mix(place * np.uint64(256) + flat), begin)), 9)
     return np.concatenate(owner), np.concatenate(ids)
 
 

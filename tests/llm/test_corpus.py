@@ -221,6 +221,15 @@ def test_forward_backward_in_blocks_is_exact():
     assert np.allclose(language_crf.posteriors(two, np.array([2]), links)[0], (joint.sum(axis=1) / joint.sum()))
 
 
+def test_long_words_count_in_full():
+    words = [b"abcd" * 3, b"x" * 12 + b"middle" * 5 + b"y" * 12, b"x" * 12 + b"y" * 12, b"a"]
+    owner, ids = language_crf.features(words)
+    assert np.bincount(owner).tolist() == [sum(max(0, len(w) + 3 - n) for n in (2, 3, 4)) + 1 for w in words]
+    inner, cut = set(ids[owner == 1].tolist()), set(ids[owner == 2].tolist())
+    alone = language_crf.features([b"middle"])
+    assert len(inner - cut) > 5 and len(inner & set(alone[1].tolist())) >= 5
+
+
 def test_languages_on_held_out_texts(spark):
     kinds = {"aa": ["ba", "ke", "lo", "mi"], "zz": ["schr", "ung", "keit", "ver"]}
     rows = []
