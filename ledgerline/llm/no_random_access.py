@@ -46,7 +46,7 @@ class Lists:
         if self.reach * int(np.abs(query).max()) * d >= 1 << 53:  # bounds in float64 would not be exact
             mine = np.arange(n)
         else:
-            mine = self._open(query.astype(np.float64), k + 1)
+            mine = self._open(query.astype(np.float64), k + int((self.ids == own).sum()))
         mine = mine[self.ids[mine] != own]
         scores = self._exact(mine, query)
         first = np.lexsort((self.ids[mine], -scores))[:k]

@@ -272,6 +272,16 @@ def test_top_k_against_brute_force(spark):
         assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == [(i, -s) for s, i in best]
 
 
+def test_top_k_leaves_room_for_all_rows_of_the_query():
+    v = np.random.default_rng(8).integers(-1000, 1000, (400, 8))
+    v[:30] = v[0]
+    v[:30, 0] = v[0, 0] = 5000
+    ids = np.concatenate((np.zeros(30, np.int64), np.arange(1, 371)))
+    got, scores = no_random_access.Lists(ids, v).best(v[0], 5, 0)
+    best = sorted((-int(v[0] @ v[i]), int(ids[i])) for i in range(30, 400))[:5]
+    assert list(zip((-scores).tolist(), got.tolist())) == best
+
+
 def test_packing_round_trip(spark):
     rows = [(i, prose(i, 5 + i * 37 % 900), "s") for i in range(60)]
     p = packing.pack(docs(spark, rows)).toPandas()
