@@ -37,25 +37,50 @@ def dividend_asof(bars: DataFrame, actions: DataFrame) -> DataFrame:
     return seen.where("kind = 0").select("ticker", F.col("date").alias("ex_date"), "value", "prev_close")
 
 
+def _with_factors(bars: DataFrame, actions: DataFrame) -> DataFrame:
+    """bars with split_factor, div_factor and adj_factor. Bars, splits and dividends share one exchange and two sorts: upwards for each dividend's last close before it, downwards for the products of what comes later."""
+    kinds = [("__mult", "double"), ("__cash", "double"), ("__bar", "int")]
+    filled = lambda df, **given: df.select("ticker", "date", *(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in bars.schema.fields if f.name not in ("ticker", "date")), *(given.get(n, F.lit(None)).cast(t).alias(n) for n, t in kinds))
+    own = filled(bars, __bar=F.lit(1), **{c: F.col(c) for c in bars.columns})
+    splits = filled(dedupe_splits(actions).withColumnRenamed("ex_date", "date"), __mult=1 / F.col("ratio"), __bar=F.lit(0))
+    cash = filled(actions.where("action_type = 'dividend' and value > 0").withColumnRenamed("ex_date", "date"), __cash=F.col("value"), __bar=F.lit(0))
+    before = Window.partitionBy("ticker").orderBy("date", "__bar").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("ticker").orderBy(F.desc("date"), F.desc("__bar")).rowsBetween(Window.unboundedPreceding, -1)
+    rows = own.unionByName(splits).unionByName(cash).withColumn("__prev", F.last("close", ignorenulls=True).over(before))
+    left = 1 - F.try_divide("__cash", "__prev")
+    rows = rows.withColumn("__left", F.when(left > 0, left))
+    rows = rows.withColumns({"split_factor": F.coalesce(F.product("__mult").over(later), F.lit(1.0)), "div_factor": F.coalesce(F.product("__left").over(later), F.lit(1.0))})
+    return rows.where("__bar = 1").drop("__mult", "__cash", "__bar", "__prev", "__left").withColumn("adj_factor", F.col("split_factor") * F.col("div_factor"))
+
+
 def adjustment_factors(bars: DataFrame, actions: DataFrame) -> DataFrame:
-    """(ticker, date, split_factor, div_factor, adj_factor)."""
-    splits = dedupe_splits(actions).select("ticker", "ex_date", (1 / F.col("ratio")).alias("mult"))
-    cash = dividend_asof(bars, actions).withColumn("mult", 1 - F.try_divide("value", "prev_close")).where("mult > 0")
-    split = suffix_product(bars, splits, "split_factor")
-    div = suffix_product(bars, cash.select("ticker", "ex_date", "mult"), "div_factor")
-    return split.join(div, ["ticker", "date"]).withColumn("adj_factor", F.col("split_factor") * F.col("div_factor"))
+    """(ticker, date, split_factor, div_factor, adj_factor) for each bar."""
+    return _with_factors(bars.select("ticker", "date", "close"), actions).drop("close")
 
 
-def adjusted_view(bars: DataFrame, factors: DataFrame, prices: tuple[str, ...] = ("close",)) -> DataFrame:
-    """Bars with adjusted prices and volume; close_raw keeps the traded close."""
-    joined = bars.join(factors, ["ticker", "date"], "left").withColumn("close_raw", F.col("close"))
+def _shares(volume: Column) -> Column:
+    """A volume in whole shares; one that no 64-bit number can hold is null."""
+    return F.round(volume).try_cast("long")
+
+
+def _adjusted(rows: DataFrame, prices: tuple[str, ...]) -> DataFrame:
     adj, split = F.coalesce("adj_factor", F.lit(1.0)), F.coalesce("split_factor", F.lit(1.0))
-    out = joined.withColumns({p: F.col(p) * adj for p in prices} | {"volume": F.round(F.col("volume") / split).cast("long"), "adj_factor": adj})
+    out = rows.withColumn("close_raw", F.col("close")).withColumns({p: F.col(p) * adj for p in prices} | {"volume": _shares(F.try_divide("volume", split)), "adj_factor": adj})
     return out.drop("split_factor", "div_factor")
 
 
+def adjusted_view(bars: DataFrame, factors: DataFrame, prices: tuple[str, ...] = ("close",)) -> DataFrame:
+    """Bars with adjusted prices and volume by a table of factors; bars without one stay as they are. close_raw keeps the traded close."""
+    return _adjusted(bars.join(factors, ["ticker", "date"], "left"), prices)
+
+
+def adjusted(bars: DataFrame, actions: DataFrame, prices: tuple[str, ...] = ("close",)) -> DataFrame:
+    """adjusted_view with factors derived from actions on the way, without a join."""
+    return _adjusted(_with_factors(bars, actions), prices)
+
+
 def as_traded(bars: DataFrame, actions: DataFrame, prices: tuple[str, ...] = ("close",)) -> DataFrame:
     """From split-adjusted bars to prices and volumes as they were traded: the inverse of the split factor."""
     up = suffix_product(bars, dedupe_splits(actions).select("ticker", "ex_date", F.col("ratio").alias("mult")), "up")
     out = bars.join(up, ["ticker", "date"])
-    return out.withColumns({p: F.col(p) * F.col("up") for p in prices} | {"volume": F.round(F.col("volume") / F.col("up")).cast("long")}).drop("up")
+    return out.withColumns({p: F.col(p) * F.col("up") for p in prices} | {"volume": _shares(F.try_divide("volume", "up"))}).drop("up")

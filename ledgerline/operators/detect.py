@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: Fixed value: scales a median absolute deviation to a standard deviation.
 MAD_SCALE = 0.6745
+GAP = "unexplained_gap"
 
 
 def _by_date():
@@ -32,49 +33,75 @@ def robust_scores(bars: DataFrame, window: int = 63) -> DataFrame:
     return out.withColumn("z", MAD_SCALE * (F.col("r") - F.col("med")) / F.col("mad"))
 
 
-def mad_outliers(bars: DataFrame, window: int = 63, threshold: float = 8.0) -> DataFrame:
-    hits = robust_scores(bars, window).where(F.abs("z") > threshold)
-    return _flag(hits, "return_outlier_mad", F.lit("warn"), log_return=F.round("r", 6), robust_z=F.round("z", 2), window=F.lit(window))
+def _runs(bars: DataFrame, same: Column, name: str) -> DataFrame:
+    """Bars with the length of the unbroken run in which `same` links each bar to the one before."""
+    island = bars.withColumn("__i", F.sum(F.when(same, 0).otherwise(1)).over(_by_date().rowsBetween(Window.unboundedPreceding, 0)))
+    return island.withColumn(name, F.count("*").over(Window.partitionBy("ticker", "__i"))).drop("__i")
 
 
-def _runs(bars: DataFrame, same: Column) -> DataFrame:
-    """Bars with run_length: of the unbroken run in which `same` links each bar to the one before."""
-    island = bars.withColumn("__i", F.sum(F.when(same, 0).otherwise(1)).over(_by_date().rowsBetween(Window.unboundedPreceding, 0)))
-    return island.withColumn("run_length", F.count("*").over(Window.partitionBy("ticker", "__i"))).drop("__i")
+def measured(bars: DataFrame, window: int = 63) -> DataFrame:
+    """Bars with all that the detectors look at, from one exchange by ticker: r, med, mad, z, change, stale_run and zero_run. What a detector doesn't use is pruned."""
+    rows = robust_scores(bars, window).withColumns({"__prev": F.lag("close").over(_by_date()), "__zero": F.col("volume") == 0})
+    rows = rows.withColumns({"change": F.try_divide("close", "__prev") - 1, "__before": F.lag("__zero").over(_by_date())})
+    rows = _runs(rows, F.col("close") == F.col("__prev"), "stale_run")
+    return _runs(rows, F.col("__zero") & F.col("__before"), "zero_run").drop("__prev", "__before", "__zero")
+
+
+def _outlier(window: int, threshold: float):
+    return "return_outlier_mad", F.abs("z") > threshold, F.lit("warn"), {"log_return": F.round("r", 6), "robust_z": F.round("z", 2), "window": F.lit(window)}
+
+
+def _stale(least: int):
+    return "stale_price", F.col("stale_run") >= least, F.when(F.col("volume") > 0, "warn").otherwise("info"), {"run_length": F.col("stale_run")}
+
+
+def _still(least: int):
+    return "zero_volume_run", (F.col("volume") == 0) & (F.col("zero_run") >= least), F.lit("info"), {"run_length": F.col("zero_run")}
+
+
+def _gap(limit: float):
+    return GAP, F.abs("change") > limit, F.lit("error"), {"pct_change": F.round("change", 6)}
+
+
+def _raised(rows: DataFrame, *tests) -> DataFrame:
+    """A flag for each test that a bar meets."""
+    one = lambda kind, hit, severity, detail: F.when(hit, F.struct(F.lit(kind).alias("flag_type"), severity.alias("severity"), F.to_json(F.struct(*(v.alias(k) for k, v in detail.items()))).alias("detail")))
+    return rows.select("ticker", "date", F.inline(F.array_compact(F.array(*(one(*t) for t in tests)))))
+
+
+def _explained(flags: DataFrame, actions: DataFrame) -> DataFrame:
+    """flags without gaps on days of an action."""
+    known = actions.select("ticker", F.col("ex_date").alias("date"), F.lit(GAP).alias("flag_type")).distinct()
+    return flags.join(known, ["ticker", "date", "flag_type"], "left_anti")
+
+
+def mad_outliers(bars: DataFrame, window: int = 63, threshold: float = 8.0) -> DataFrame:
+    return _raised(measured(bars, window), _outlier(window, threshold))
 
 
 def stale_prices(bars: DataFrame, least: int = 5) -> DataFrame:
-    hits = _runs(bars.withColumn("__p", F.lag("close").over(_by_date())), F.col("close") == F.col("__p")).where(F.col("run_length") >= least)
-    return _flag(hits, "stale_price", F.when(F.col("volume") > 0, "warn").otherwise("info"), run_length=F.col("run_length"))
+    return _raised(measured(bars), _stale(least))
 
 
 def zero_volume_runs(bars: DataFrame, least: int = 3) -> DataFrame:
-    zero = bars.withColumn("__z", F.col("volume") == 0).withColumn("__p", F.lag("__z").over(_by_date()))
-    hits = _runs(zero, F.col("__z") & F.col("__p")).where(F.col("__z") & (F.col("run_length") >= least))
-    return _flag(hits, "zero_volume_run", F.lit("info"), run_length=F.col("run_length"))
+    return _raised(measured(bars), _still(least))
 
 
 def unexplained_gaps(bars: DataFrame, actions: DataFrame, limit: float = 0.30) -> DataFrame:
-    moved = bars.withColumn("change", F.try_divide(F.col("close"), F.lag("close").over(_by_date())) - 1).where(F.abs("change") > limit)
-    known = actions.select("ticker", F.col("ex_date").alias("date")).distinct()
-    return _flag(moved.join(known, ["ticker", "date"], "left_anti"), "unexplained_gap", F.lit("error"), pct_change=F.round("change", 6))
+    return _explained(_raised(measured(bars), _gap(limit)), actions)
 
 
 def missing_sessions(bars: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Sessions (calendar, session) between a ticker's first and last bar on which it has none."""
-    bounds = bars.groupBy("ticker").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    # the calendar's few thousand rows go to the tickers, of which there is one row each
-    expected = bounds.join(F.broadcast(sessions), F.col("session").between(F.col("lo"), F.col("hi"))).select("ticker", F.col("session").alias("date"), "calendar")
+    """Sessions (calendar, session) between a ticker's first and last bar on which it has none. Days meet sessions by equality."""
+    days = bars.groupBy("ticker").agg(F.min("date").alias("lo"), F.max("date").alias("hi")).where("lo is not null").select("ticker", F.explode(F.sequence("lo", "hi")).alias("date"))
+    expected = days.join(sessions.select(F.col("session").alias("date"), "calendar"), "date")
     return _flag(expected.join(bars.select("ticker", "date"), ["ticker", "date"], "left_anti"), "missing_session", F.lit("warn"), calendar=F.col("calendar"))
 
 
-def battery(bars: DataFrame, actions: DataFrame, sessions: DataFrame, **limits) -> DataFrame:
-    """All detectors. limits: window, threshold, stale, zero, gap."""
-    parts = [mad_outliers(bars, limits.get("window", 63), limits.get("threshold", 8.0)), stale_prices(bars, limits.get("stale", 5)), zero_volume_runs(bars, limits.get("zero", 3)), unexplained_gaps(bars, actions, limits.get("gap", 0.30)), missing_sessions(bars, sessions)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def battery(bars: DataFrame, actions: DataFrame, sessions: DataFrame, window: int = 63, threshold: float = 8.0, stale: int = 5, zero: int = 3, gap: float = 0.30) -> DataFrame:
+    """All detectors: those of a ticker's series in one pass, and missing sessions."""
+    raised = _raised(measured(bars, window), _outlier(window, threshold), _stale(stale), _still(zero), _gap(gap))
+    return _explained(raised, actions).unionByName(missing_sessions(bars, sessions), allowMissingColumns=False)
 
 
 def trailing_slice(bars: DataFrame, mad_window: int = 63, least: int = 260) -> DataFrame:

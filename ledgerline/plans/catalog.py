@@ -30,7 +30,8 @@ def _query(sql: str | None = None, using: tuple[str, ...] = ()):
 
 
 def _r(df: DataFrame, digits: int, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in cols})
+    """Rounded columns, in which a negative zero is a zero."""
+    return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in cols})
 
 
 _SPLITS = """sp AS (SELECT ticker, value AS ratio, ex_date, row_number() OVER (PARTITION BY ticker, value ORDER BY ex_date) AS rn FROM actions WHERE action_type = 'split'),
@@ -63,7 +64,7 @@ def dividend_asof(bars, actions):
 
 @_query(f"WITH {_FACTORS} SELECT b.ticker, b.date, round(b.close * split_factor * div_factor + 1e-9, 6) AS close, b.close AS close_raw, CAST(round(b.volume / split_factor) AS BIGINT) AS volume, round(split_factor * div_factor, 10) AS adj_factor FROM bars b JOIN sf USING (ticker, date) JOIN df USING (ticker, date)", ("bars", "actions"))
 def adj_close(bars, actions):
-    out = adjust.adjusted_view(bars, adjust.adjustment_factors(bars, actions))
+    out = adjust.adjusted(bars, actions)
     # prices of few decimals lie on ties, which engines round either way; a nudge beyond them settles it
     return _r(_r(out.withColumn("close", F.col("close") + 1e-9), 6, "close"), 10, "adj_factor")
 
@@ -226,7 +227,7 @@ def sentiment_daily(news_):
     return _r(news.sentiment_daily(news_), 8, "sent_av", "rel_sum", "log_n_articles")
 
 
-@_query("WITH s AS (SELECT b.ticker, b.date, f.score, f.date AS obs FROM (SELECT DISTINCT ticker, date FROM bars) b LEFT JOIN factor f USING (ticker, date)), w AS (SELECT ticker, date, last_value(score IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY date ROWS UNBOUNDED PRECEDING) AS last_score, date - max(obs) OVER (PARTITION BY ticker ORDER BY date ROWS UNBOUNDED PRECEDING) AS days_since FROM s) SELECT ticker, date, last_score, CAST(days_since AS INTEGER) AS days_since, round(last_score * exp(-days_since / 5.0), 9) AS decayed FROM w", ("bars", "factor"))
+@_query("WITH s AS (SELECT b.ticker, b.date, f.score, f.date AS obs FROM (SELECT DISTINCT ticker, date FROM bars) b LEFT JOIN factor f USING (ticker, date)), w AS (SELECT ticker, date, last_value(score IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY date ROWS UNBOUNDED PRECEDING) AS last_score, date - max(obs) OVER (PARTITION BY ticker ORDER BY date ROWS UNBOUNDED PRECEDING) AS days_since FROM s) SELECT ticker, date, last_score, CAST(days_since AS INTEGER) AS days_since, round(last_score * exp(-days_since / 5.0), 9) + 0.0::DOUBLE AS decayed FROM w", ("bars", "factor"))
 def sentiment_decayed(bars, factor):
     return _r(news.decayed(bars, factor, "score"), 9, "decayed")
 
@@ -247,7 +248,7 @@ def _panel(bars, factor):
     return factor.join(research.forward_returns(bars), ["ticker", "date"])
 
 
-@_query(f"WITH {_IC} SELECT date, round(ic, 6) AS ic, n FROM ic WHERE horizon = 1", ("bars", "factor"))
+@_query(f"WITH {_IC} SELECT date, round(ic, 6) + 0.0::DOUBLE AS ic, n FROM ic WHERE horizon = 1", ("bars", "factor"))
 def daily_ic(bars, factor):
     return _r(research.daily_ic(_panel(bars, factor), "score", "fwd_1"), 6, "ic")
 
@@ -349,7 +350,7 @@ def trading_day(spark, sf_dir):
     return news.trading_day(ev, both).select("event_id", "ticker", "date")
 
 
-_LISTED = "SELECT upper(substr(replace(p_name, ' ', ''), 1, 6)) AS ticker, trim(p_name) AS security_name, CASE WHEN p_partkey % 3 = 0 THEN 'N' WHEN p_partkey % 3 = 1 THEN 'A' ELSE 'V' END AS exchange, p_brand AS cqs_symbol, 'N' AS etf, CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS round_lot_size, 'N' AS test_issue, CAST(p_partkey AS VARCHAR) AS nasdaq_symbol FROM part"
+_LISTED = "SELECT upper(substr(replace(p_name, ' ', ''), 1, 3 + CAST(p_partkey % 4 AS INT))) AS ticker, trim(p_name) AS security_name, CASE WHEN p_partkey % 3 = 0 THEN 'N' WHEN p_partkey % 3 = 1 THEN 'A' ELSE 'V' END AS exchange, p_brand AS cqs_symbol, 'N' AS etf, CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS round_lot_size, 'N' AS test_issue, CAST(p_partkey AS VARCHAR) AS nasdaq_symbol FROM part"
 
 
 def _listed(spark, sf_dir):
@@ -359,7 +360,7 @@ def _listed(spark, sf_dir):
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     code = F.when(F.col("p_partkey") % 3 == 0, "N").when(F.col("p_partkey") % 3 == 1, "A").otherwise("V")
     lot = F.when(F.col("p_partkey") % 17 == 0, "n/a").otherwise(F.col("p_size").cast("string"))
-    ticker = F.upper(F.substr(F.replace("p_name", F.lit(" "), F.lit("")), F.lit(1), F.lit(6)))
+    ticker = F.upper(F.substr(F.replace("p_name", F.lit(" "), F.lit("")), F.lit(1), (F.col("p_partkey") % 4 + 3).cast("int")))
     lines = part.select(F.concat_ws("|", ticker, F.concat(F.lit("  "), "p_name", F.lit(" ")), code, "p_brand", F.lit("N"), lot, F.lit("N"), F.col("p_partkey").cast("string")).alias("value"))
     header = "|".join(files.OTHER)
     return files.listing(lines.union(spark.createDataFrame([(header,), ("",), ("File Creation Time: 01012024|||||||",)], "value string")), header, files.OTHER)
@@ -370,12 +371,11 @@ def listing_parse(spark, sf_dir):
     return _listed(spark, sf_dir)
 
 
-@_query(f"SELECT DISTINCT CASE exchange WHEN 'N' THEN 'NYSE' ELSE 'AMEX' END AS index_name, ticker FROM ({_LISTED}) WHERE exchange IN ('N', 'A') AND NOT regexp_matches(lower(security_name), 'warrant|right|unit|preferred|notes|debenture|bond') AND regexp_full_match(ticker, '[A-Z]{{1,5}}|[A-Z]{{6}}')")
+@_query(f"SELECT DISTINCT CASE exchange WHEN 'N' THEN 'NYSE' ELSE 'AMEX' END AS index_name, ticker FROM ({_LISTED}) WHERE exchange IN ('N', 'A') AND NOT regexp_matches(lower(security_name), 'warrant|right|unit|preferred|notes|debenture|bond') AND regexp_full_match(ticker, '[A-Z]{{1,5}}')")
 def exchange_rosters(spark, sf_dir):
     from ledgerline.sources import files
 
-    common = ~F.col("security_name").rlike(f"(?i){tables.NOT_COMMON}") & F.col("ticker").rlike("^[A-Z]{1,6}$")
-    return files.rosters(_listed(spark, sf_dir), common)
+    return files.rosters(_listed(spark, sf_dir))
 
 
 @_query("SELECT upper(concat('v', CAST(l_suppkey AS VARCHAR))) AS ticker, CAST(l_shipdate AS DATE) AS ex_date, t AS action_type, CASE t WHEN 'dividend' THEN l_discount ELSE l_tax END AS value FROM lineitem, (SELECT unnest(['dividend', 'split']) AS t) WHERE CASE t WHEN 'dividend' THEN l_discount ELSE l_tax END > 0")

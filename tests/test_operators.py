@@ -1,5 +1,5 @@
 import re
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -130,3 +130,22 @@ def test_numeric_coercion(spark):
 def test_latest_wins_is_total(spark):
     df = spark.createDataFrame([("k", 1, "a"), ("k", 2, "b"), ("k", 2, "c"), (None, 1, "n"), (None, 3, "m")], "k string, t int, v string")
     assert sorted(r.v for r in dedupe.latest_wins(df, ["k"], "t", ["v"]).collect()) == ["c", "m"]
+
+
+def test_factors_beyond_what_volumes_hold(spark):
+    """A hundred splits of one ticker: the volume that no 64-bit number holds is null, nothing fails."""
+    days = [date(2000, 1, 1) + timedelta(30 * i) for i in range(100)]
+    b = spark.createDataFrame([("A", d, 10.0, 1000) for d in days], "ticker string, date date, close double, volume long")
+    a = spark.createDataFrame([("A", d + timedelta(1), "split", 3.0) for d in days], "ticker string, ex_date date, action_type string, value double")
+    got = {r.date: (r.close, r.volume, r.close_raw) for r in adjust.adjusted(b, a).collect()}
+    assert got[days[0]][1] is None and got[days[-1]] == (pytest.approx(10 / 3), 3000, 10.0)
+    joined = {r.date: (r.close, r.volume, r.close_raw) for r in adjust.adjusted_view(b, adjust.adjustment_factors(b, a)).collect()}
+    assert joined == got and adjust.as_traded(b, a).where("volume is null").count() == 0
+
+
+def test_detectors_share_one_exchange(spark):
+    b = bars(spark, [10.0 + i % 7 for i in range(80)])
+    a = spark.createDataFrame([], "ticker string, ex_date date, action_type string, value double")
+    s = spark.createDataFrame([], "calendar string, session date")
+    plan = detect.battery(b, a, s)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(ticker") <= 6
