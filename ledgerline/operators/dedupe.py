@@ -21,5 +21,12 @@ def first_wins(df: DataFrame, keys: list[str], by: str, ties: list[str] = ()) ->
 
 
 def first_row_wins(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The row that stands first in its file: only for a frame just read, whose ids ascend in file order."""
-    return first_wins(df.withColumn("__id", F.monotonically_increasing_id()), keys, "__id").drop("__id")
+    """The row that stands first, by file name and then by place in the file: only for a frame just read, whose ids ascend within each file."""
+    placed = df.withColumns({"__file": F.input_file_name(), "__id": F.monotonically_increasing_id()})
+    return first_wins(placed, keys, "__file", ["__id"]).drop("__file", "__id")
+
+
+def total_order(df: DataFrame, keys: list[str], first: str | None = None) -> list[str]:
+    """Columns that settle which of several rows with one key stays: `first`, then all others that can be ordered."""
+    rest = [f.name for f in df.schema.fields if f.name not in (*keys, first) and f.dataType.typeName() not in ("map", "variant")]
+    return [*([first] if first else []), *rest]

@@ -25,7 +25,7 @@ def trading_day(rows: DataFrame, calendar_map: DataFrame, instant: str = "effect
     """rows with date: the local session of the instant (UTC) if its local time isn't after the cutoff, else the next session."""
     zone, name, cutoff = market("ticker", default)
     local = rows.withColumns({"__local": F.from_utc_timestamp(instant, zone), "__cal": name, "__cut": cutoff})
-    days = F.broadcast(calendar_map.select(F.col("calendar").alias("__c"), F.col("any_date").alias("__d"), "is_session", "next_session"))
+    days = calendar_map.select(F.col("calendar").alias("__c"), F.col("any_date").alias("__d"), "is_session", "next_session")
     joined = local.join(days, (F.col("__cal") == F.col("__c")) & (F.to_date("__local") == F.col("__d")), "left")
     same = F.col("is_session") & (F.date_format("__local", "HH:mm:ss") <= F.col("__cut"))
     return joined.withColumn("date", F.when(same, F.col("__d")).otherwise(F.col("next_session"))).drop("__local", "__cal", "__cut", "__c", "__d", "is_session", "next_session")

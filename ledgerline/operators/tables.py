@@ -18,7 +18,7 @@ NOT_COMMON = "warrant|right|unit|preferred|notes|debenture|bond"
 
 
 def validated(df: DataFrame, checks: dict[str, str], key: list[str], required: list[str] = ()) -> DataFrame:
-    """df with failed: the names of the checks that a row fails. A null in a required column fails not_null_<column>; a row whose key is repeated fails unique_key."""
+    """df with failed: the names of the checks that a row fails. A null in a required column fails not_null_<column>; a row whose key is repeated fails unique_key, where nulls are equal (such rows fail not_null as well)."""
     tests: list[Column] = [F.when(F.col(c).isNull(), F.lit(f"not_null_{c}")) for c in required]
     tests += [F.when(~F.coalesce(F.expr(cond), F.lit(True)), F.lit(name)) for name, cond in checks.items()]
     tests.append(F.when(F.count("*").over(Window.partitionBy(*key)) > 1, F.lit("unique_key")))

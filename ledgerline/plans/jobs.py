@@ -44,6 +44,7 @@ class Lake:
 
     def __init__(self, spark: SparkSession, root: str, sessions: DataFrame):
         self.spark, self.root, self.sessions = spark, root.rstrip("/"), sessions
+        self._held: list[DataFrame] = []
 
     def table(self, name: str) -> DataFrame:
         return store.read_table(self.spark, f"{self.root}/curated/{name}", TABLES[name][0])
@@ -53,16 +54,23 @@ class Lake:
         fs, where = store._fs(self.spark, path)
         return self.spark.read.schema(_LOGS[name]).parquet(path) if fs.exists(where) else self.spark.createDataFrame([], _LOGS[name])
 
-    def _put(self, name: str, df: DataFrame, by: str | None = None) -> dict[str, int]:
+    def _put(self, name: str, df: DataFrame, by: str | None = None, first: bool = False) -> dict[str, int]:
         schema, key, partition = TABLES[name]
         wanted = [part.split(" ")[0] for part in schema.split(", ")]
         kinds = dict(part.split(" ") for part in schema.split(", "))
         every = wanted + [c for c in df.columns if c not in wanted and name == "fundamentals_snapshot"]
-        return store.upsert(df.select(*((F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(kinds[c])).alias(c) for c in every)), f"{self.root}/curated/{name}", key, partition, by)
+        shaped = df.select(*((F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(kinds[c])).alias(c) for c in every))
+        try:
+            return store.upsert(shaped, f"{self.root}/curated/{name}", key, partition, by or ("ingested_at" if "ingested_at" in every else None), first)
+        finally:
+            while self._held:
+                self._held.pop().unpersist()
 
     def _valid(self, df: DataFrame, checks: dict[str, str], key: list[str], required: list[str], dataset: str, run_id: str) -> DataFrame:
         """Rows that pass; the others, a row for each failed check, go to quarantine."""
-        good, bad = tables.split_valid(tables.validated(df, checks, key, required))
+        checked = tables.validated(df, checks, key, required).persist()  # read twice; _put lets it go
+        self._held.append(checked)
+        good, bad = tables.split_valid(checked)
         store.append_log(bad.withColumn("run_id", F.lit(run_id)), f"{self.root}/quarantine/{dataset}")
         return good
 
@@ -71,7 +79,7 @@ class Lake:
         frames = {name: self.table(name) for name in TABLES}
         bars = frames["ohlcv_daily"]
         frames["adjustment_factors"] = adjust.adjustment_factors(bars, frames["corporate_actions"])
-        frames["ohlcv_daily_adj"] = adjust.adjusted_view(bars, frames["adjustment_factors"], tuple(PRICES))
+        frames["ohlcv_daily_adj"] = adjust.adjusted(bars, frames["corporate_actions"], tuple(PRICES))
         frames["ohlcv_daily_clean"] = detect.clean_view(bars, frames["validation_flags"])
         frames["sentiment_decayed"] = news.decayed(bars, frames["sentiment_daily"], "sent_av")
         for name, df in frames.items():

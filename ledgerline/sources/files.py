@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.dedupe import first_row_wins
+from ledgerline.operators.tables import common_stocks
 
 #: Headers of the directories and our names for them.
 NASDAQ = {
@@ -47,10 +48,10 @@ def read_listing(spark: SparkSession, path: str, names: dict[str, str]) -> DataF
     return listing(lines, first[0], names)
 
 
-def rosters(others: DataFrame, common: Column) -> DataFrame:
-    """(index_name, ticker): common stocks of the other-listed directory by the roster of their exchange; other exchanges go."""
+def rosters(others: DataFrame) -> DataFrame:
+    """(index_name, ticker): common stocks of the other-listed directory, which gives no financial status, by the roster of their exchange; other exchanges go."""
     name = F.create_map(*(F.lit(x) for kv in ROSTERS.items() for x in kv))[F.col("exchange")]
-    return others.where(common).select(name.alias("index_name"), "ticker").where("index_name is not null").distinct()
+    return common_stocks(others, statuses=None).select(name.alias("index_name"), "ticker").where("index_name is not null").distinct()
 
 
 def screener(raw: DataFrame, as_of, note: str = "") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerline.operators.dedupe import latest_wins
+from ledgerline.operators.dedupe import first_wins, latest_wins, total_order
 
 
 def _fs(spark: SparkSession, path: str):
@@ -23,8 +23,10 @@ def _fs(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
-def merged(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Incoming rows, and existing ones whose key doesn't come in."""
+def merged(existing: DataFrame, incoming: DataFrame, keys: list[str], first: bool = False) -> DataFrame:
+    """Incoming rows, and existing ones whose key doesn't come in. first: the other way round, what was captured first stays."""
+    if first:
+        return existing.unionByName(incoming.join(existing.select(*keys).distinct(), keys, "left_anti").select(incoming.columns), allowMissingColumns=True)
     return existing.join(incoming.select(*keys).distinct(), keys, "left_anti").select(existing.columns).unionByName(incoming, allowMissingColumns=True)
 
 
@@ -64,14 +66,17 @@ def read_table(spark: SparkSession, table: str, schema: str | None = None) -> Da
     return spark.createDataFrame([], schema or "none string")
 
 
-def upsert(df: DataFrame, table: str, keys: list[str], partition: str | None = None, by: str | None = None) -> dict[str, int]:
-    """Merges df by key, incoming rows winning; of incoming rows with one key the last by `by` stays. Gives rows_in, rows_new and rows_replaced.
+def upsert(df: DataFrame, table: str, keys: list[str], partition: str | None = None, by: str | None = None, first: bool = False) -> dict[str, int]:
+    """Merges df by key, incoming rows winning; of incoming rows with one key the last by `by` and then by all columns stays. Gives rows_in, rows_new and rows_replaced.
+
+    first: the first capture wins instead, both among incoming rows and against those that are there.
 
     partition: a column that the key determines (the year of its date); only partitions that have incoming rows are
     read and written anew. Its distinct values are held on the driver, as are the names of the table's partitions.
     """
     spark = df.sparkSession
-    incoming = (latest_wins(df, keys, by, [c for c in df.columns if c != by]) if by else df.dropDuplicates(keys)).persist()
+    order = total_order(df, keys, by)
+    incoming = ((first_wins if first else latest_wins)(df, keys, order[0], order[1:]) if order else df.distinct()).persist()
     try:
         values = [r[0] for r in incoming.select(partition).distinct().collect()] if partition else []
         n = incoming.count()
@@ -84,7 +89,7 @@ def upsert(df: DataFrame, table: str, keys: list[str], partition: str | None = N
             if partition:
                 touched = F.col(partition).isin([v for v in values if v is not None])
                 before = before.where(touched | F.col(partition).isNull() if None in values else touched)
-            held, out = before.count(), merged(before, incoming, keys)
+            held, out = before.count(), merged(before, incoming, keys, first)
         name = uuid.uuid4().hex
         # the hint lets a large partition have many writers and small ones share one
         spread = out.hint("rebalance", partition).sortWithinPartitions(partition, *keys) if partition else out.hint("rebalance").sortWithinPartitions(*keys)
@@ -95,7 +100,7 @@ def upsert(df: DataFrame, table: str, keys: list[str], partition: str | None = N
         version = {"schema": out.schema.jsonValue(), "parts": (old.get("parts", {}) if partition else {}) | parts}
         written = _read(spark, table, version, parts).count()
         _commit(spark, table, number + 1, version)
-        return {"rows_in": n, "rows_new": written - held, "rows_replaced": held + n - written}
+        return {"rows_in": n, "rows_new": written - held, "rows_replaced": 0 if first else held + n - written}
     finally:
         incoming.unpersist()
 

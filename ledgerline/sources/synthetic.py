@@ -80,7 +80,7 @@ def _scaled(bars: DataFrame, where: Column, price: Column, volume: Column | None
 
 
 def with_gap(bars: DataFrame, on: str, pct: float) -> DataFrame:
-    """A jump at `on`; the path goes on from the new level."""
+    """All prices from `on` onwards times 1 + pct."""
     return _scaled(bars, F.col("date") >= F.lit(on).cast("date"), F.lit(1 + pct))
 
 

@@ -11,7 +11,7 @@ HEADER = "Symbol|Security Name|Market Category|Test Issue|Financial Status|Round
 
 def test_directory(spark, tmp_path):
     path = tmp_path / "list.txt"
-    path.write_text(f"{HEADER}\nNA|Some Corp - Common Stock|Q|N|N|100|N|N\n AB |Other|Q|N|D|x|N|N\n\nFile Creation Time: 0705202621:30|||||||\n")
+    path.write_text(f"{HEADER}\nNA|Some Corp - Common Stock|Q|N|N|100|N|N\n AB |Other|Q|N|D|x|N|N\n\nFile Creation Time: 0102200303:04|||||||\n")
     got = files.read_listing(spark, str(path), files.NASDAQ).orderBy("ticker").collect()
     assert [(r.ticker, r.round_lot_size, r.financial_status) for r in got] == [("AB", None, "D"), ("NA", 100.0, "N")]
     with pytest.raises(ValueError, match="columns have changed"):
