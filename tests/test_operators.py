@@ -147,5 +147,7 @@ def test_detectors_share_one_exchange(spark):
     b = bars(spark, [10.0 + i % 7 for i in range(80)])
     a = spark.createDataFrame([], "ticker string, ex_date date, action_type string, value double")
     s = spark.createDataFrame([], "calendar string, session date")
-    plan = detect.battery(b, a, s)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(ticker") <= 6
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(ticker")
+    alone = [detect.mad_outliers(b), detect.stale_prices(b), detect.zero_volume_runs(b), detect.unexplained_gaps(b, a), detect.missing_sessions(b, s)]
+    assert [exchanges(df) for df in alone[:3]] == [1, 1, 1]
+    assert exchanges(detect.battery(b, a, s)) == exchanges(alone[3]) + exchanges(alone[4])
