@@ -27,8 +27,9 @@ def test_screener_keeps_a_tickers_first_row(spark, tmp_path):
 
 
 def test_rosters(spark):
-    rows = spark.createDataFrame([("A", "N"), ("B", "V"), ("C", "Z")], "ticker string, exchange string")
-    assert {tuple(r) for r in files.rosters(rows, F.lit(True)).collect()} == {("NYSE", "A"), ("CBOE", "C")}
+    listed = [("A", "Corp", "N", "N", "N"), ("B", "Corp", "V", "N", "N"), ("C", "Corp", "Z", "N", "N"), ("D", "Corp Warrants", "N", "N", "N"), ("E", "Fund", "N", "Y", "N")]
+    rows = spark.createDataFrame(listed, "ticker string, security_name string, exchange string, etf string, test_issue string")
+    assert {tuple(r) for r in files.rosters(rows).collect()} == {("NYSE", "A"), ("CBOE", "C")}
 
 
 def test_history(spark):
