@@ -1,16 +1,20 @@
 """Exact top-k by inner product, by sorted lists that are read in order only.
 
 Vectors become integers, floor(1024 * x) of each component. Over a block of vectors each dimension is a sorted list; for a
-query, every list is read from the end that gives the largest products, some positions at a time. What has been read gives
-each vector a partial sum; unread parts lie between the list's last value and the value at the reading position, which
-gives a lower and an upper bound. Reading stops when the vectors whose upper bound reaches the k-th lower bound are few, or
-all has been read; the bounds leave no other vector a chance, and the scores of those few are resolved exactly.
-
-Queries and vectors meet block by block: each block pair is a row of bounded size, spread over tasks by the vectors' block,
-and leaves k rows a query. A second step keeps each query's best.
-
-Defined results: vectors that are null, empty or hold a null, a non-finite component or one beyond +-2**31 take no part, nor do rows
-with a null id. Vectors meet only queries of their own length. A query never meets rows with its own id. Repeated rows are
+query, every list is read from the end that gives the largest products. What has been read of a vector counts in full; what
+hasn't lies between the list's last value and the value at the reading position, which gives the vector a lower and an upper
+bound. For a whole set of queries these bounds are products of matrices in which unread components are replaced. Vectors whose
+upper bound is below the k-th lower bound, or below the k-th score of the blocks read before, cannot qualify; lists are read
+deeper until few others are left, whose scores are then resolved exactly.
+
+Every query meets all vectors of a slot: rows are dealt over slots by their place in the table, so that repeated rows spread
+evenly, and each set of at most QUERIES queries goes to every slot. A task holds one set of queries and one block of BLOCK vectors,
+and leaves k rows a query; a second step keeps each query's best.
+
+Defined results: vectors that are null, empty or hold a null or a non-finite component take no part, nor do rows
+with a null id. Finite components of any size count; where sums leave the integers that float64 holds exactly, all scores are
+resolved in 64-bit or longer integers, and a score beyond 64 bits is given as the nearest 64-bit number. Vectors meet only
+queries of their own length. A query never meets rows with its own id. Repeated rows are queries and
 candidates each. Ties go to the smaller id. An empty table gives no rows. Other columns are not read.
 """
 
@@ -24,104 +28,173 @@ from pyspark.sql import functions as F
 from ledgerline.llm._spark import Stash, map_arrow
 
 SCALE = 1024
-VECTORS, QUERIES = 2048, 128
-#: Share of a list that is read at a time.
-STRIDE = 8
-LARGEST = 2.0**31
-
-
-class Lists:
-    """A block of vectors with its sorted lists."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
-        self.order = np.argsort(vectors, axis=0, kind="stable")
-        self.ordered = np.take_along_axis(vectors, self.order, axis=0)
-        self.reach = int(np.abs(vectors).max()) if vectors.size else 0
-
-    def best(self, query: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best for one query, best first."""
-        n, d = self.vectors.shape
-        k = min(k, n)
-        if self.reach * int(np.abs(query).max()) * d >= 1 << 53:  # bounds in float64 would not be exact
-            mine = np.arange(n)
-        else:
-            mine = self._open(query.astype(np.float64), k + int((self.ids == own).sum()))
-        mine = mine[self.ids[mine] != own]
-        scores = self._exact(mine, query)
-        first = np.lexsort((self.ids[mine], -scores))[:k]
-        return self.ids[mine][first], scores[first]
-
-    def _exact(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-        if self.reach * int(np.abs(query).max()) * len(query) < 1 << 62:
-            return self.vectors[rows] @ query
-        exact = [sum(int(a) * int(b) for a, b in zip(self.vectors[r], query, strict=True)) for r in rows]
-        return np.clip(np.array(exact, dtype=object), -(1 << 63) + 1, (1 << 63) - 1).astype(np.int64)
-
-    def _open(self, q: np.ndarray, k: int) -> np.ndarray:
-        """Rows that may be among the k best."""
-        n, d = self.vectors.shape
-        down = q >= 0  # read these lists from their large end
-        last = np.where(down, self.ordered[0], self.ordered[-1]) * q
-        sums, unread = np.zeros(n), np.ones((n, d), dtype=np.float64)
-        columns = np.arange(d)
-        step = max(1, -(-n // STRIDE))
-        for at in range(0, n, step):
-            to = min(n, at + step)
-            spans = np.where(down[None, :], n - 1 - np.arange(at, to)[:, None], np.arange(at, to)[:, None])
-            rows = self.order[spans, columns]
-            values = self.ordered[spans, columns] * q
-            sums += np.bincount(rows.ravel(), values.ravel(), minlength=n)
-            unread[rows, columns[None, :]] = 0
-            low = sums + unread @ last
-            high = sums + unread @ values[-1]
-            floor = np.partition(low, n - k)[n - k] if k <= n else -np.inf
-            open_ = np.flatnonzero(high >= floor)
-            if len(open_) <= 4 * k:
+#: Vectors of a block, the least number of vectors of a slot, and queries that a task holds at most.
+BLOCK, SLOT, QUERIES = 2048, 8192, 32_768
+#: Shares of the lists at which bounds are taken.
+DEPTHS = (0.5, 0.75, 0.9, 1.0)
+#: Vectors with larger components are read apart from the others.
+COMMON = float(1 << 20)
+#: Products that are held at once.
+AT_ONCE = 1 << 20
+_LARGEST = (1 << 63) - 1
+
+
+def whole(x: np.ndarray) -> np.ndarray:
+    """floor(1024 * x) as int64 where that holds them all, else as Python integers."""
+    with np.errstate(over="ignore"):
+        scaled = np.floor(x * SCALE)
+    if not x.size or np.abs(scaled).max() < 2.0**62:
+        return scaled.astype(np.int64)
+    return np.array([[int(a) if np.isfinite(a) else int(b) * SCALE for a, b in zip(r, s, strict=True)] for r, s in zip(scaled, x, strict=True)], dtype=object)
+
+
+def _reach(v: np.ndarray) -> int:
+    return int(abs(v).max()) if v.size else 0
+
+
+class Best:
+    """The k best vectors so far for each query (rows of queries, with their ids)."""
+
+    def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int):
+        self.ids, self.queries, self.k = ids, queries, k
+        self.floor = np.full(len(ids), -np.inf)
+        self.query, self.score, self.vector = (np.zeros(0, np.int64) for _ in range(3))
+        common = np.abs(queries).max(axis=1) < COMMON / SCALE if len(ids) else np.zeros(0, bool)
+        self.parts = [(at, whole(queries[at])) for at in (np.flatnonzero(common), np.flatnonzero(~common)) if len(at)]
+
+    def read(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        """Takes a block of vectors into account."""
+        common = np.abs(vectors).max(axis=1) < COMMON / SCALE
+        for rows in (np.flatnonzero(common), np.flatnonzero(~common)):
+            if not len(rows):
+                continue
+            v = whole(vectors[rows])
+            for asks, q in self.parts:
+                # a set of queries whose products with the block fit in memory
+                step = max(1, AT_ONCE // len(rows))
+                for at in range(0, len(asks), step):
+                    self._meet(ids[rows], v, asks[at : at + step], q[at : at + step])
+
+    def _meet(self, ids: np.ndarray, v: np.ndarray, asks: np.ndarray, q: np.ndarray) -> None:
+        own = ids[:, None] == self.ids[asks][None, :]
+        sums = _reach(v) * _reach(q) * v.shape[1]
+        if sums < 1 << 53:
+            i, j = np.nonzero(self._open(v.astype(np.float64), q.astype(np.float64), own, asks))
+            score = np.concatenate([np.zeros(0, np.int64), *(np.einsum("ij,ij->i", v[i[a : a + 20_000]], q[j[a : a + 20_000]]) for a in range(0, len(i), 20_000))])
+        else:  # bounds would not be exact
+            i, j = np.nonzero(~own)
+            score = v @ q.T if sums < 1 << 62 else np.clip(v.astype(object) @ q.T.astype(object), -_LARGEST, _LARGEST).astype(np.int64)
+            score = score[i, j]
+        self._keep(asks[j], score, ids[i])
+
+    def _open(self, v: np.ndarray, q: np.ndarray, own: np.ndarray, asks: np.ndarray) -> np.ndarray:
+        """[vectors, queries]: whether a vector may be among the query's k best."""
+        n = len(v)
+        lists = np.sort(v, axis=0)
+        up, down = np.maximum(q, 0).T, np.minimum(q, 0).T  # read from the large end, from the small end
+        floor = self.floor[asks]
+        open_ = ~own
+        for depth in DEPTHS:
+            at = min(n, max(1, int(np.ceil(n * depth))))
+            top, bottom = lists[n - at], lists[at - 1]
+            if np.isinf(floor).any() and n - own.sum(axis=0).max() >= self.k:
+                low = np.where(v >= top, v, lists[0]) @ up + np.where(v <= bottom, v, lists[-1]) @ down
+                low[own] = -np.inf
+                floor = np.maximum(floor, np.partition(low, n - self.k, axis=0)[n - self.k])
+            open_ &= np.maximum(v, top) @ up + np.minimum(v, bottom) @ down >= floor
+            if open_.sum() <= 4 * self.k * len(asks):
                 break
         return open_
 
+    def _keep(self, query: np.ndarray, score: np.ndarray, vector: np.ndarray) -> None:
+        query, score, vector = np.concatenate((self.query, query)), np.concatenate((self.score, score)), np.concatenate((self.vector, vector))
+        order = np.lexsort((vector, -score, query))
+        query, score, vector = query[order], score[order], vector[order]
+        count = np.bincount(query, minlength=len(self.ids))
+        rank = np.arange(len(query)) - (np.cumsum(count) - count)[query]
+        kept = rank < self.k
+        self.query, self.score, self.vector = query[kept], score[kept], vector[kept]
+        last = rank == self.k - 1
+        self.floor[query[last]] = score[last]
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1)
+
 
 def _search(k: int):
+    """Rows in order of key and kind: for each key the queries (kind 0), then the vectors (kind 1)."""
+
     def run(batches):
+        key, asks, held, waiting, best = None, [], [], 0, None
+
+        def read():
+            nonlocal best, held, waiting
+            if best is None:
+                best = Best(np.concatenate([a[0] for a in asks]), np.concatenate([a[2] for a in asks]), k) if asks else Best(np.zeros(0, np.int64), np.zeros((0, 1)), k)
+            if held and len(best.ids):
+                ids, vectors = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+                for at in range(0, len(ids), BLOCK):
+                    best.read(ids[at : at + BLOCK], vectors[at : at + BLOCK])
+            held, waiting = [], 0
+
+        def results():
+            read()
+            if len(best.query):
+                ask = np.concatenate([a[1] for a in asks])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (best.ids[best.query], ask[best.query], best.vector, best.score)], names=["query_id", "row", "vec_id", "score"])
+
         for batch in batches:
-            col = lambda c, b=batch: b.column(b.schema.get_field_index(c)).to_pylist()
-            out: list[tuple] = []
-            lists, seen = None, None
-            for at, qs, vs in zip(col("at"), col("queries"), col("vectors"), strict=True):
-                if at != seen:
-                    seen, lists = at, Lists(np.array([v["vec_id"] for v in vs], np.int64), np.array([v["parts"] for v in vs], np.int64))
-                for q in qs:
-                    ids, scores = lists.best(np.array(q["parts"], np.int64), k, q["vec_id"])
-                    out += [(q["vec_id"], q["copy"], int(i), int(s)) for i, s in zip(ids, scores, strict=True)]
-            cols = list(zip(*out, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "copy", "vec_id", "score"])
+            if not batch.num_rows:
+                continue
+            col = lambda c, b=batch: np.asarray(b.column(b.schema.get_field_index(c)))
+            dim, part, slot, kind, ids, rows = (col(c) for c in ("dim", "part", "slot", "kind", "vec_id", "row"))
+            x = batch.column(batch.schema.get_field_index("x"))
+            state = np.stack([dim, part, slot, kind])
+            edges = [0, *(np.flatnonzero((state[:, 1:] != state[:, :-1]).any(axis=0)) + 1).tolist(), len(ids)]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                here = (dim[a], part[a], slot[a])
+                if here != key:
+                    if key is not None:
+                        yield from results()
+                    key, asks, held, waiting, best = here, [], [], 0, None
+                if kind[a] == 0:
+                    asks.append((ids[a:b], rows[a:b], _matrix(x.slice(a, b - a))))
+                else:
+                    held.append((ids[a:b], _matrix(x.slice(a, b - a))))
+                    waiting += b - a
+                    if waiting >= BLOCK:
+                        read()
+        if key is not None:
+            yield from results()
 
     return run
 
 
-def integers(vectors: DataFrame) -> DataFrame:
-    """(vec_id, parts): rows that take part."""
-    fits = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(LARGEST / SCALE))
-    doubles = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("x")).where("vec_id is not null and size(x) > 0").where(F.forall("x", fits))
-    return doubles.select("vec_id", F.transform("x", lambda x: F.floor(x * SCALE).cast("long")).alias("parts"))
+def taking_part(vectors: DataFrame) -> DataFrame:
+    """(vec_id, x, dim): rows that take part."""
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+    doubles = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x"))
+    return doubles.where("vec_id is not null and size(x) > 0").where(F.forall("x", finite)).withColumn("dim", F.size("x"))
 
 
 def top_k(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of vectors (vec_id, embedding) whose id is divisible by `every`."""
-    rows = Stash(integers(vectors).withColumn("dim", F.size("parts")))
-    n = rows.read().count()
-    blocks = max(1, -(-n // VECTORS))
-    query_blocks = max(1, -(-n // (every * QUERIES)))
-    spread = lambda name, count: F.pmod(F.xxhash64("vec_id", "parts"), F.lit(count)).cast("int").alias(name)
-    held = rows.read().select("dim", spread("block", blocks), F.struct("vec_id", "parts").alias("v")).groupBy("dim", "block").agg(F.collect_list("v").alias("vectors"))
-    copies = Window.partitionBy("vec_id", "parts").orderBy("vec_id")
-    asks = rows.read().where(F.col("vec_id") % every == 0).withColumn("copy", F.row_number().over(copies).cast("long"))
-    asks = asks.select("dim", spread("ask", query_blocks), F.struct("vec_id", "copy", "parts").alias("q")).groupBy("dim", "ask").agg(F.collect_list("q").alias("queries"))
-    asks = asks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    pairs = asks.join(held, ["dim", "block"]).select(F.struct("dim", "block").alias("at"), "queries", "vectors")
-    found = map_arrow(pairs.select(F.to_json("at").alias("at"), "queries", "vectors"), _search(k), "query_id long, copy long, vec_id long, score long")
-    best = Window.partitionBy("query_id", "copy").orderBy(F.desc("score"), "vec_id")
+    rows = Stash(taking_part(vectors).withColumn("row", F.monotonically_increasing_id()))
+    is_query = F.col("vec_id") % every == 0
+    sizes = rows.read().agg(F.count("*").alias("n"), F.count_if(is_query).alias("queries")).first()
+    sets = max(1, -(-sizes["queries"] // QUERIES))
+    # a slot has at least as many vectors as it gets queries, so that copies of queries don't outgrow the vectors
+    slots = max(1, -(-sizes["n"] // max(SLOT, min(sizes["queries"], QUERIES))))
+    dealt = lambda salt, count: F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(count)).cast("int")
+    each = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    asks = rows.read().where(is_query).select("dim", dealt(1, sets).alias("part"), each(slots).alias("slot"), F.lit(0).alias("kind"), "vec_id", "row", "x")
+    held = rows.read().select("dim", each(sets).alias("part"), dealt(2, slots).alias("slot"), F.lit(1).alias("kind"), "vec_id", "row", "x")
+    key = ["dim", "part", "slot"]
+    met = asks.unionByName(held).repartition(sets * slots, *key).sortWithinPartitions(*key, "kind")
+    found = map_arrow(met, _search(k), "query_id long, row long, vec_id long, score long")
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

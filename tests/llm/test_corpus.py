@@ -1,7 +1,9 @@
+import math
 import random
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -260,26 +262,47 @@ def test_language_model_scores(spark):
     assert got[70].base_score == pytest.approx(want) and got[70].train_tokens == total
 
 
-def test_top_k_against_brute_force(spark):
+def best_by_brute_force(rows, every, k):
+    """Sorted (query_id, rank, vec_id, score) in Python integers."""
+    use = [(i, [math.floor(Fraction(x) * 1024) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for i, q in use:
+        if i % every == 0:
+            found = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in use if j != i and len(v) == len(q))[:k]
+            out += [(i, r, j, max(min(-s, 2**63 - 1), 1 - 2**63)) for r, (s, j) in enumerate(found, 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block", [2048, 50])
+def test_top_k_against_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(no_random_access, "BLOCK", block)
     rng = np.random.default_rng(5)
     v = rng.normal(size=(400, 8))
     v[7] = v[9] = v[0]
-    rows = [(i, [float(x) for x in v[i]]) for i in range(400)] + [(900, None), (1000, [float("nan")] * 8), (1100, [1.0, None] * 4)]
-    got = no_random_access.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 100, 5).collect()
-    p = np.floor(1024 * v).astype(np.int64)
-    for q in range(0, 400, 100):
-        best = sorted(((-int(p[q] @ p[i]), i) for i in range(400) if i != q))[:5]
-        assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == [(i, -s) for s, i in best]
-
-
-def test_top_k_leaves_room_for_all_rows_of_the_query():
-    v = np.random.default_rng(8).integers(-1000, 1000, (400, 8))
-    v[:30] = v[0]
-    v[:30, 0] = v[0, 0] = 5000
-    ids = np.concatenate((np.zeros(30, np.int64), np.arange(1, 371)))
-    got, scores = no_random_access.Lists(ids, v).best(v[0], 5, 0)
-    best = sorted((-int(v[0] @ v[i]), int(ids[i])) for i in range(30, 400))[:5]
-    assert list(zip((-scores).tolist(), got.tolist())) == best
+    rows = [(i, [float(x) for x in v[i]]) for i in range(400)]
+    rows += [(900, None), (1000, [float("nan")] * 8), (1100, [1.0, None] * 4), (1200, []), (1300, [float("inf")] * 8), (None, [1.0] * 8)]
+    rows += [(0, rows[0][1])] * 15 + [(2000 + i, [float(i), 1.0]) for i in range(0, 300, 50)] + [(500, [3e6, 1.0, 1.0, 1.0]), (501, [1.0, 2.0, 3.0, -4.0]), (600, [-3e6, 2.0, 1.0, 0.0])]
+    rows += [(700, [1e300, 1.0, -1.0]), (701, [1.7e308, 2.0, 5.0]), (702, [-1e300, 3.0, 1.0]), (703, [0.5, 3.0, 1.0]), (704, [0.25, 3.0, 1.0])]
+    got = no_random_access.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("clash")), 100, 5).collect()
+    assert sorted(tuple(r) for r in got) == best_by_brute_force(rows, 100, 5)
+    assert sum(r.query_id == 0 for r in got) == 16 * 5
+
+
+def test_top_k_of_an_empty_table(spark):
+    assert no_random_access.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_bounds_close_before_all_is_read():
+    rng = np.random.default_rng(8)
+    v = rng.integers(-1000, 1000, (4096, 32)) / 1024
+    best = no_random_access.Best(np.array([-1]), v[:1], 10)
+    best.read(np.arange(2048), v[:2048])
+    w = no_random_access.whole(v)
+    open_ = best._open(w[2048:].astype(float), w[:1].astype(float), np.zeros((2048, 1), bool), np.array([0]))
+    assert open_.sum() <= 40
+    best.read(np.arange(2048, 4096), v[2048:])
+    want = sorted((-int(s), i) for i, s in enumerate(w @ w[0]))[:10]
+    assert list(zip((-best.score).tolist(), best.vector.tolist())) == want
 
 
 def test_packing_round_trip(spark):
