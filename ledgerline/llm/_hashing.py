@@ -23,26 +23,52 @@ _STEP = np.uint64(0xD1342543DE82EF95)
 _powers = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64)}
 
 
+#: Bytes that words() takes at a time, and powers that a worker keeps.
+SEGMENT, KEPT = 1 << 20, 1 << 21
+
+
 def _power(kind: str, n: int) -> np.ndarray:
     """The first n powers of the base (up) or of its inverse modulo 2**64 (down)."""
     if len(_powers[kind]) < n:
         base = _BASE if kind == "up" else pow(_BASE, -1, 1 << 64)
-        full = np.full(max(n, 1 << 20), base, dtype=np.uint64)
+        full = np.full(max(n, KEPT), base, dtype=np.uint64)
         full[0] = 1
-        _powers[kind] = np.multiply.accumulate(full)
+        full = np.multiply.accumulate(full)
+        if n > KEPT:
+            return full
+        _powers[kind] = full
     return _powers[kind][:n]
 
 
+def _segments(raw: np.ndarray):
+    """(from, to) of about SEGMENT bytes each, cut at white space only, so that one very long text costs little more memory than many short ones."""
+    at = 0
+    while at < len(raw):
+        to = min(len(raw), at + SEGMENT)
+        while to < len(raw):
+            near = np.flatnonzero(_SPACE[raw[to : to + 4096]])
+            if len(near):
+                to += int(near[0])
+                break
+            to = min(len(raw), to + 4096)
+        yield at, to
+        at = to
+
+
 def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of maximal runs of bytes other than x20 and x09 to x0D, over all texts: hash, start, end (in the joined bytes, texts parted by one space) and the text's index."""
     joined = b" ".join([b"", *texts, b""])
     raw = np.frombuffer(joined, dtype=np.uint8)
-    space = _SPACE[raw]
-    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-    starts, ends = edge[0::2], edge[1::2]
-    total = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[raw] * _power("up", len(raw)), out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * _power("down", len(raw))[starts] + (ends - starts).astype(np.uint64))
+    found = []
+    for at, to in _segments(raw):
+        part = raw[at : to + 1]
+        space = _SPACE[part]
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+        begin, end = edge[0::2], edge[1::2]
+        total = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[part] * _power("up", len(part)), out=total[1:])
+        found.append((mix((total[end] - total[begin]) * _power("down", len(part))[begin] + (end - begin).astype(np.uint64)), begin + at, end + at))
+    hashes, starts, ends = (np.concatenate(x) for x in zip(*found, strict=True))
     first = np.cumsum([1, *(len(t) + 1 for t in texts)])
     return hashes, starts, ends, np.searchsorted(first, starts, side="right") - 1
 

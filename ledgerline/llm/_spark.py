@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -19,7 +21,7 @@ BROADCAST_ROWS = 200_000
 #: Rows that one file of a narrow table holds about, and the least number of files.
 FILE_ROWS, LEAST_FILES = 100_000, 6
 #: Bytes of text that one numpy pass takes at a time.
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 1 << 20
 
 #: Rows of an Arrow batch: texts of some kilobytes each would otherwise fill tens of megabytes on both sides of the pipe.
 BATCH_ROWS = 1000
@@ -56,7 +58,21 @@ def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
             for path in sorted(root.rglob("*.py")):
                 z.write(path, path.relative_to(root.parent))
         sc.addPyFile(str(target))
-    return df.mapInArrow(run, schema)
+
+    def task(batches):
+        yield from run(batches)
+        release()
+
+    return df.mapInArrow(task, schema)
+
+
+def release() -> None:
+    """Gives memory that is free, but held by Arrow's pool and the C library, back to the system: workers live on after a task."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only in some C libraries
+        if trim is not None:
+            trim(0)
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -95,8 +111,8 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def chunks(batches, column: str = "text"):
-    """Slices of Arrow batches with about CHUNK_BYTES of text each, in order; one longer text is a slice of its own."""
+def chunks(batches, column: str = "text", size: int = CHUNK_BYTES):
+    """Slices of Arrow batches with about `size` bytes of text each, in order; one longer text is a slice of its own."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -106,7 +122,7 @@ def chunks(batches, column: str = "text"):
         at = 0
         while at < batch.num_rows:
             base = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, side="right")))
+            to = max(at + 1, int(np.searchsorted(ends, base + size, side="right")))
             yield batch.slice(at, to - at)
             at = to
 

@@ -26,6 +26,8 @@ from ledgerline.llm._spark import chunks, map_arrow, texts_of
 SAMPLE = 20_000
 TREES, DEPTH, BINS, SHRINK, LEAST, RIDGE = 80, 4, 64, 0.15, 8.0, 1.0
 CUT = 0.7
+#: Bytes of text whose statistics are taken at a time.
+STEP = 1 << 18
 
 _KINDS = {
     "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "lower": b"abcdefghijklmnopqrstuvwxyz", "digit": b"0123456789", "symbol": b"#*$%&<>", "bar": b"|", "shout": b"!?",
@@ -123,7 +125,7 @@ def held_out(n: int, part: int):
 
 
 def _features(batches):
-    for batch in chunks(batches):
+    for batch in chunks(batches, size=STEP):
         x = statistics(texts_of(batch))
         yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("y")), pa.array(list(x), pa.list_(pa.float64()))], names=["y", "x"])
 
@@ -144,7 +146,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches):
-        for batch in chunks(batches):
+        for batch in chunks(batches, size=STEP):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(predict(model, statistics(texts_of(batch))))], names=["doc_id", "score"])
 
     return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, score double")

@@ -13,7 +13,8 @@ still reach the threshold either shares a shingle that few of them hold, and is
 and then its bound counts only those. These steps are exact: no link between different parts of a bucket is skipped. A bucket of copies costs one comparison a member.
 
 Defined results: a null text is like an empty one: it has no shingles and is linked with nothing. Rows with a null
-doc_id take no part. Repeated rows give repeated results. Other columns, whatever their names, are not read. An
+doc_id take no part. Repeated rows give repeated results. Rows with one doc_id and different texts are sets of their own, but one
+document: what either is linked with is reachable from both. Other columns, whatever their names, are not read. An
 empty table gives an empty result.
 """
 
@@ -215,6 +216,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     docs = docs.select("doc_id", "text").where("doc_id is not null")
     sketch = Stash(map_arrow(docs, _sketcher(k), "doc_id long, n long, s1 long, s2 long, regs binary, odd array<long>, bands array<long>"))
     rows = sketch.read().count()
+    spread = [F.min(c) != F.max(c) for c in ("s1", "s2", "n")]
+    if sketch.read().where("n > 0").groupBy("doc_id").agg((spread[0] | spread[1] | spread[2]).alias("several")).where("several").limit(1).count():
+        sketch.drop()
+        return _by_row(docs, k, percent)
     narrow = sketch.read().where("n > 0").select("doc_id", "s1", "s2", "n")
     classes = Stash(narrow.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep")), rows)
     firsts = classes.read().select(F.col("rep").alias("doc_id"), "s1", "s2", "n")
@@ -276,3 +281,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     for x in (crowded, weight, members, tried, part, open_part, grams, counts, able, rest, rare):
         x.drop()
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def _by_row(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """near_duplicates where a doc_id stands for different texts: rows are compared under numbers of their own, and parts that share a doc_id are one."""
+    numbered = Stash(docs.withColumn("row", F.monotonically_increasing_id()))
+    found = Stash(near_duplicates(numbered.read().select(F.col("row").alias("doc_id"), "text"), k, percent).withColumnRenamed("doc_id", "row"))
+    labels = Stash(found.read().join(numbered.read().select("row", "doc_id"), "row"))
+    rows = labels.read().count()
+    linked = labels.read().where("n_shingles > 0")
+    least = linked.groupBy("doc_id").agg(F.min("component_id").alias("u"))
+    joins = linked.join(least, "doc_id").where("u <> component_id").select("u", F.col("component_id").alias("v")).distinct()
+    merged = components(joins, rows)
+    named = labels.read().join(merged.withColumnRenamed("id", "component_id"), "component_id", "left").withColumn("part", F.coalesce("comp", "component_id"))
+    first = named.groupBy("part").agg(F.min("doc_id").alias("least"))
+    return named.join(first, "part").select("doc_id", "n_shingles", F.col("least").alias("component_id"), "n_links")
