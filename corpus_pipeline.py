@@ -34,16 +34,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five words, a similarity of 0.8), the one with the smallest doc_id."""
-    found = Stash(setsketch.near_duplicates(docs, k=5, percent=80).select("doc_id", "component_id"))
-    gone = Stash(found.read().where("doc_id <> component_id").select("doc_id").distinct())
-    left = docs.join(sized(gone.read()), "doc_id", "left_anti").select(docs.columns)
-    twice = Stash(found.read().groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
-    if not twice.read().limit(1).count():
-        return left
-    again = sized(twice.read())
-    once = left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
+    """One document of each group of near-duplicates (five words, a similarity of 0.8), the one with the smallest doc_id.
+
+    Rows without a doc_id or without words stay, as does the text of a doc_id that other rows hold with other words.
+    """
+    cols = docs.columns
+    known = docs.where("doc_id is not null")
+    if not known.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        found = Stash(setsketch.near_duplicates(docs, k=5, percent=80).where("doc_id <> component_id").select("doc_id"))
+        return docs.join(sized(found.read()), "doc_id", "left_anti").select(cols)
+    # a doc_id of several rows doesn't name a document: rows are compared under numbers of their own
+    row = next(name for name in ("row", *(f"row_{i}" for i in range(len(cols)))) if name not in cols)
+    numbered = Stash(docs.withColumn(row, F.monotonically_increasing_id()))
+    found = setsketch.near_duplicates(numbered.read().where("doc_id is not null").select(F.col(row).alias("doc_id"), "text"), k=5, percent=80)
+    found = Stash(found.withColumnRenamed("doc_id", row).join(numbered.read().select(row, "doc_id"), row))
+    kept = found.read().groupBy("component_id").agg(F.min(F.struct("doc_id", row)).alias("kept")).select(F.col(f"kept.{row}").alias("own"))
+    gone = Stash(found.read().join(kept, F.col(row) == F.col("own"), "left_anti").select(row))
+    return numbered.read().join(sized(gone.read()), row, "left_anti").select(cols)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
