@@ -130,6 +130,19 @@ def test_places_of_a_chunks_first_document_all_go_on():
     assert [(r["doc"], r["at"], r["doc2"], r["at2"]) for r in got if r["at2"] >= 0] == [(2, 30, 1, 10)]
 
 
+def test_passages_do_not_depend_on_how_texts_are_dealt(spark):
+    rows = []
+    for g in range(6):
+        base = prose(40 + g, 70, vocabulary(40 + g)).split()
+        for k in range(9):
+            w = list(base)
+            w[10 + 5 * k] = f"changed{k}"
+            rows.append((9 * g + k, " ".join([prose(4000 + 9 * g + k, 30, vocabulary(9 * g + k)), *w, prose(5000 + 9 * g + k, 30, vocabulary(99 + 9 * g + k))]), "s"))
+    found = lambda n: sorted(map(tuple, compact_windows.repeated_passages(docs(spark, rows).repartition(n)).collect()))
+    one = found(1)
+    assert one == found(7) and {r[0] for r in one} >= {9 * g + k for g in range(6) for k in range(1, 9)}
+
+
 def test_passages_with_inserted_and_deleted_words(spark):
     rows, want = [], {}
     for i in range(12):
