@@ -264,15 +264,69 @@ def test_line_rules_keep_prose(spark):
     assert got[1] == (True, good) and not got[2][0] and not got[3][0]
 
 
-def test_language_model_scores(spark):
-    words = vocabulary(1, 50)
-    rows = [(i, prose(i, 80, words), "s") for i in range(80)] + [(200, "zqxj wvkq" * 20, "s")]
-    got = {r.doc_id: r for r in context_mixing.score(docs(spark, rows), F.col("doc_id") >= 60, 40, 4000).collect()}
-    assert got[70].bits_per_byte < 3 < got[200].bits_per_byte
+def lm_rows():
+    return [(i, prose(i, 80, vocabulary(1, 50)), "s") for i in range(80)] + [(200, "zqxj wvkq" * 20, "s"), (201, None, "s")]
+
+
+def test_language_model_scores(spark, monkeypatch):
+    rows = lm_rows()
+    found = lambda: {r.doc_id: r for r in context_mixing.score(docs(spark, rows), F.col("doc_id") >= 60).collect()}
+    got = found()
+    assert got[70].bits_per_byte < 2 < got[200].bits_per_byte and got[201].n_tokens == 1
     seen = Counter(w for i, t, _ in rows if i < 60 for w in [*t.split(), None])
     total = sum(seen.values())
-    want = sum(np.log10((seen[w] + 1) / (total + len(seen) + 1)) for w in [*rows[70][1].split(), None])
-    assert got[70].base_score == pytest.approx(want) and got[70].train_tokens == total
+    for i, t, _ in rows:
+        w = [*(t or "").split(), None]
+        assert got[i].base_score == pytest.approx(sum(np.log10((seen[x] + 1) / (total + len(seen) + 1)) for x in w)) and got[i].train_tokens == total
+        assert (got[i].n_tokens, got[i].n_known) == (len(w), sum(seen[x] > 0 for x in w))
+    # words and windows that don't go to the tasks meet theirs in joins
+    monkeypatch.setattr(context_mixing, "TOP", 20)
+    monkeypatch.setattr(context_mixing, "PART", 1000)
+    few = found()
+    assert all(few[i].base_score == pytest.approx(got[i].base_score) and few[i].n_known == got[i].n_known for i in got)
+    assert all(few[i].score == pytest.approx(got[i].score, rel=0.1) for i in range(80))
+
+
+def test_counts_of_contexts_by_brute_force():
+    texts = [t.encode() for _, t, _ in lm_rows()[:20]]
+    packed, owner = context_mixing.windows(texts)
+    raw = [bytes(7) + t + b"\0" for t in texts]
+    at = [(t, i) for t, x in enumerate(raw) for i in range(7, len(x))]
+    assert [t for t, _ in at] == owner.tolist()
+
+    def context(x, i, order):
+        out = x[i - order : i]
+        far = out[: max(0, order - context_mixing.ACROSS)]
+        for k in range(order, context_mixing.ACROSS, -1):  # beyond ACROSS bytes only within the word
+            if any(c in b" \t\n\x0b\x0c\r\0" for c in x[i - k + 1 : i]):
+                far = far[: order - k] + b"\0" + far[order - k + 1 :]
+        return far + out[max(0, order - context_mixing.ACROSS) :]
+
+    keys, n = np.unique(packed, return_counts=True)
+    three, back = np.unique(context_mixing._low(keys, context_mixing.SPLIT), return_inverse=True)
+    levels = context_mixing.seen(keys, n, (three, np.bincount(back, n).astype(np.int64)))
+    where = {k: i for i, k in enumerate(keys.tolist())}
+    for o, order in enumerate(context_mixing.ORDERS):
+        want = Counter()
+        for t, i in at:
+            for bit in range(9):
+                want[context(raw[t], i, order), bit, raw[t][i] >> (8 - bit)] += 1
+        for j in range(0, len(at), 37):
+            t, i = at[j]
+            assert [levels[o, bit, where[packed[j]]] for bit in range(9)] == [want[context(raw[t], i, order), bit, raw[t][i] >> (8 - bit)] for bit in range(9)]
+
+
+def test_probabilities_of_all_bytes_add_up():
+    packed, _ = context_mixing.windows([t.encode() for _, t, _ in lm_rows()[:40]])
+    keys, n = np.unique(packed, return_counts=True)
+    every = np.unique(np.concatenate([keys, *((keys[100:104] & ~np.int64(255)) | np.int64(b) for b in range(256))]))
+    n = np.where(np.isin(every, keys), n[np.minimum(np.searchsorted(keys, every), len(keys) - 1)], 0)
+    three, back = np.unique(context_mixing._low(every, context_mixing.SPLIT), return_inverse=True)
+    levels = context_mixing.seen(every, n, (three, np.bincount(back, n).astype(np.int64)))
+    weights, sums = context_mixing.learn(every, n, levels)
+    p = 10 ** context_mixing.costs(every, levels, weights, context_mixing.refined(sums))
+    for k in keys[100:104]:
+        assert p[(every & ~np.int64(255)) == (k & ~np.int64(255))].sum() == pytest.approx(1, abs=1e-6)
 
 
 def best_by_brute_force(rows, every, k):
