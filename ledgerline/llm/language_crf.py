@@ -5,8 +5,8 @@ affixes, its inner character n-grams and the whole word as a lexicon entry, all
 transition weights link neighbouring words. Forward-backward gives each word's probabilities; a text's are their mean over words that
 hold a letter, and the largest is its language. So code-switched texts get the language of most of their words.
 
-Weights are learned on the driver from at most PER_LANGUAGE labelled texts a language (the documented bound; about so
-many are drawn by a hash of their ids) by stochastic gradient on stretches of words, half of which join two languages at a
+Weights are learned on the driver from at most PER_LANGUAGE labelled texts a language (the documented bound; those with the
+smallest hashes; all languages are learned) by stochastic gradient on stretches of words, half of which join two languages at a
 random place, so that transitions are learned as well. Scoring is one pass over the texts, without a shuffle. Sequences are
 cut into blocks whose transfer matrices are multiplied, which is exact, and all blocks of a chunk run side by side.
 
@@ -19,11 +19,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm._hashing import mix, words
-from ledgerline.llm._spark import Stash, chunks, map_arrow, texts_of
+from ledgerline.llm._spark import Stash, chunks, map_arrow, sized, texts_of
 
 PER_LANGUAGE = 250
 BITS = 17
@@ -75,7 +75,10 @@ def posteriors(scores: np.ndarray, sizes: np.ndarray, links: np.ndarray, block:
     m = np.broadcast_to(np.eye(k), (len(of), k, k)).copy()
     for j in range(int(length.max())):
         on = np.flatnonzero(length > j)
-        step = (m[on] @ t) * lift[begin[on] + j][:, None, :]
+        moved = m[on] @ t
+        if j == 0:  # no link leads to a sequence's first word
+            moved[nth == 0] = np.eye(k)
+        step = moved * lift[begin[on] + j][:, None, :]
         m[on] = step / step.max(axis=(1, 2), keepdims=True)
     before, after = np.ones((len(of), k)), np.ones((len(of), k))
     start = np.cumsum(per) - per
@@ -91,7 +94,10 @@ def posteriors(scores: np.ndarray, sizes: np.ndarray, links: np.ndarray, block:
     v = before
     for j in range(int(length.max())):
         on = np.flatnonzero(length > j)
-        w = (v[on] @ t) * lift[begin[on] + j]
+        moved = v[on] @ t
+        if j == 0:
+            moved[nth == 0] = 1.0
+        w = moved * lift[begin[on] + j]
         w /= w.max(axis=1, keepdims=True)
         v = v.copy() if j == 0 else v
         v[on] = w
@@ -106,6 +112,23 @@ def posteriors(scores: np.ndarray, sizes: np.ndarray, links: np.ndarray, block:
     return out / out.sum(axis=1, keepdims=True)
 
 
+def chains(scores: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sequences of one length [sequences, words, labels]: each word's probabilities, and the expected number of each pair of neighbouring labels over all."""
+    lift = np.exp(scores - scores.max(axis=2, keepdims=True))
+    t = np.exp(links - links.max())
+    ahead, behind = np.empty_like(lift), np.ones_like(lift)
+    ahead[:, 0] = lift[:, 0]
+    for j in range(1, lift.shape[1]):
+        v = (ahead[:, j - 1] @ t) * lift[:, j]
+        ahead[:, j] = v / v.max(axis=1, keepdims=True)
+    for j in range(lift.shape[1] - 2, -1, -1):
+        v = (lift[:, j + 1] * behind[:, j + 1]) @ t.T
+        behind[:, j] = v / v.max(axis=1, keepdims=True)
+    one = ahead * behind
+    pairs = ahead[:, :-1, :, None] * t * (lift * behind)[:, 1:, None, :]
+    return one / one.sum(axis=2, keepdims=True), (pairs / pairs.sum(axis=(2, 3), keepdims=True)).sum(axis=(0, 1))
+
+
 class Field:
     """Languages, weights [2**BITS, languages] of features and [languages, languages] of links."""
 
@@ -149,17 +172,12 @@ class Field:
             mine = np.repeat(np.arange(len(distinct)), count)
             rows = ids[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)]
             e = np.stack([np.bincount(mine, self.table[rows, c], minlength=len(distinct)) for c in range(k)], axis=1)
-            scores = e[back.ravel()]
-            p = posteriors(scores, np.full(MINIBATCH, STRETCH), self.links, STRETCH)
-            wrong = -p
-            wrong[np.arange(len(p)), gold.ravel()] += 1
-            # pair probabilities for the links, from the same messages in closed form
-            a, b = p.reshape(MINIBATCH, STRETCH, k)[:, :-1], p.reshape(MINIBATCH, STRETCH, k)[:, 1:]
-            joint = a[..., :, None] * np.exp(self.links)[None, None] * b[..., None, :]
-            joint /= joint.sum(axis=(-1, -2), keepdims=True)
+            p, joint = chains(e[back.ravel()].reshape(MINIBATCH, STRETCH, k), self.links)
+            wrong = -p.reshape(-1, k)
+            wrong[np.arange(len(wrong)), gold.ravel()] += 1
             seen = np.zeros((k, k))
             np.add.at(seen, (gold[:, :-1].ravel(), gold[:, 1:].ravel()), 1)
-            grad_links = (seen - joint.sum(axis=(0, 1))) / MINIBATCH / STRETCH
+            grad_links = (seen - joint) / MINIBATCH / STRETCH
             by_word = np.stack([np.bincount(back.ravel(), wrong[:, c], minlength=len(distinct)) for c in range(k)], axis=1)
             touched, where = np.unique(rows, return_inverse=True)
             grad = np.stack([np.bincount(where, by_word[mine, c], minlength=len(touched)) for c in range(k)], axis=1) / MINIBATCH - DECAY * self.table[touched]
@@ -189,12 +207,15 @@ def lower(text: bytes) -> bytes:
 def train(docs: DataFrame, usable: Column, per_language: int = PER_LANGUAGE) -> Field:
     """docs: (doc_id, text, lang); usable: which rows may be learned from."""
     known = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    counts = Stash(known.groupBy("lang").agg(F.count("*").alias("n")))
-    # about per_language texts of each language; languages beyond the first 256 by name are not learned
-    rates = counts.read().orderBy("lang").limit(256).select(F.col("lang").alias("l"), F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("n")).alias("rate"))
-    draw = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    rows = known.join(F.broadcast(rates), F.col("lang") == F.col("l")).where(draw < F.col("rate")).select("lang", "doc_id", "text").limit(256 * 2 * per_language).toArrow().to_pandas()
-    rows = rows.sort_values(["lang", "doc_id", "text"], kind="stable")
+    # the texts with the smallest hashes of each language: narrow rows, of which a task hands on per_language at most
+    narrow = known.select("lang", F.xxhash64(F.lit("language"), "doc_id", "text").alias("draw"))
+    first = Window.partitionBy("lang").orderBy("draw")
+    chosen = Stash(narrow.distinct().withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_language).select(F.col("lang").alias("l"), "draw"))
+    own = known.withColumn("draw", F.xxhash64(F.lit("language"), "doc_id", "text"))
+    drawn = own.join(sized(chosen.read()).withColumnRenamed("draw", "d"), (F.col("draw") == F.col("d")) & (F.col("lang") == F.col("l")))
+    # per_language texts a language; repeated rows count once
+    rows = drawn.groupBy("lang", "draw").agg(F.min("text").alias("text")).toArrow().to_pandas()
+    rows = rows.sort_values(["lang", "draw"], kind="stable")
     field = Field(sorted(rows["lang"].unique().tolist()))
     index = {c: i for i, c in enumerate(field.languages)}
     field.learn([lower(t.encode()).split() for t in rows["text"]], np.array([index[c] for c in rows["lang"]], np.int64))

@@ -5,22 +5,20 @@ heap position), so that a batch of documents descends all trees in numpy. The mo
 `sample` labelled rows (the documented bound; those with the smallest hashes of their ids) and goes to the tasks as a few
 kilobytes; scoring is one pass over the texts without a shuffle.
 
-Defined results: a null text scores as an empty one; a null doc_id passes through with held_out null; repeated rows
+Defined results: a null text scores as an empty one; a null doc_id passes through with held_out false; repeated rows
 score alike; without labelled rows every score is 0.5; with one class only, its smoothed share. Columns other than doc_id
 and text are never read.
 """
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm._hashing import words
-from ledgerline.llm._spark import chunks, map_arrow, texts_of
+from ledgerline.llm._spark import Stash, chunks, map_arrow, sized, texts_of
 
 #: The most labelled rows that a model is fitted on.
 SAMPLE = 20_000
@@ -120,22 +118,27 @@ def predict(model: dict, x: np.ndarray) -> np.ndarray:
 
 
 def held_out(n: int, part: int):
-    """Whether crc32 of the doc_id as text leaves this remainder."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n == part
+    """Whether crc32 of the doc_id as text leaves this remainder; false for a null doc_id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % n == part, F.lit(False))
 
 
 def _features(batches):
     for batch in chunks(batches, size=STEP):
         x = statistics(texts_of(batch))
-        yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("y")), pa.array(list(x), pa.list_(pa.float64()))], names=["y", "x"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     """labels: (doc_id, label 0 or 1); docs: (doc_id, text). Fits on at most `sample` labelled rows whose document is there."""
     known = labels.select("doc_id", F.col("label").cast("double").alias("y")).where("doc_id is not null and y is not null")
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample).groupBy("doc_id").agg(F.avg("y").alias("y")).withColumn("y", F.round("y"))
-    found = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("y", "text")
-    rows = map_arrow(found, _features, "y double, x array<double>").limit(2 * sample).toArrow().to_pandas()
+    known = known.groupBy("doc_id").agg(F.round(F.avg("y")).alias("y"))
+    # hashes below a share that holds about 1.2 times the sample, so that little is left to be put in order
+    share = min(1.0, 1.2 * (sample + 100) / max(1, known.count()))
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    known = Stash(known.where(draw <= int(share * (1 << 40))).orderBy(draw, "doc_id").limit(sample))
+    # of several texts with one doc_id the smallest counts, so there are at most `sample` rows
+    found = docs.select("doc_id", "text").join(sized(known.read()), "doc_id").groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.min("y").alias("y"))
+    rows = map_arrow(found.select("doc_id", "y", "text"), _features, "doc_id string, y double, x array<double>").toArrow().to_pandas().sort_values("doc_id")
     if not len(rows):
         return fit(np.zeros((0, len(FEATURES))), np.zeros(0))
     return fit(np.stack(rows["x"].to_numpy()), rows["y"].to_numpy())
@@ -150,8 +153,3 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(predict(model, statistics(texts_of(batch))))], names=["doc_id", "score"])
 
     return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, score double")
-
-
-def crc(doc_id: object) -> int:
-    """As held_out() has it, in Python."""
-    return zlib.crc32(str(doc_id).encode())

@@ -42,7 +42,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
-    field = language_crf.train(docs, F.coalesce(~quality_trees.held_out(3, 1), F.lit(True)))
+    field = language_crf.train(docs, ~quality_trees.held_out(3, 1))
     found = language_crf.predict(docs, field)
     return found.select("doc_id", quality_trees.held_out(3, 1).alias("held_out"), "lang_pred", "score")
 
@@ -53,7 +53,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = context_mixing.score(_docs(spark, sf_dir), quality_trees.held_out(7, 2))
-    return found.select("doc_id", F.coalesce(quality_trees.held_out(7, 2), F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+    return found.select("doc_id", quality_trees.held_out(7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 
 
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

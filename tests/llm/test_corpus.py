@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 import re
@@ -232,10 +233,40 @@ def test_forward_backward_in_blocks_is_exact():
     whole, parts = (language_crf.posteriors(scores, sizes, links, b) for b in (1000, 16))
     assert np.allclose(whole, parts)
     two, t = scores[:2], np.exp(links)
-    joint = np.exp(two[0])[:, None] * t * np.exp(two[1])[None, :] * t.sum(axis=0)[:, None]
+    joint = np.exp(two[0])[:, None] * t * np.exp(two[1])[None, :]
     assert np.allclose(language_crf.posteriors(two, np.array([2]), links)[0], (joint.sum(axis=1) / joint.sum()))
 
 
+def test_gradient_of_the_links_is_that_of_the_likelihood():
+    """Expected pairs against finite differences of log Z, and against all labellings."""
+    rng = np.random.default_rng(6)
+    scores, links = rng.normal(size=(1, 6, 3)), rng.normal(size=(3, 3))
+
+    def total(links):
+        every = itertools.product(range(3), repeat=6)
+        return math.log(sum(math.exp(sum(scores[0, i, y[i]] for i in range(6)) + sum(links[y[i], y[i + 1]] for i in range(5))) for y in every))
+
+    one, pairs = language_crf.chains(scores, links)
+    for a in range(3):
+        for b in range(3):
+            step = np.zeros((3, 3))
+            step[a, b] = 1e-5
+            assert pairs[a, b] == pytest.approx((total(links + step) - total(links - step)) / 2e-5, abs=1e-6)
+    assert np.allclose(one[0], language_crf.posteriors(scores[0], np.array([6]), links)) and pairs.sum() == pytest.approx(5)
+
+
+def test_many_languages_are_learned(spark):
+    d = spark.createDataFrame([(i, prose(i, 6, vocabulary(i, 5)), f"l{i % 300:03}") for i in range(900)] + [(i, prose(1, 6, vocabulary(1, 5)), "l001") for i in range(2000, 2400)], "doc_id long, text string, lang string")
+    seen = {}
+    keep = language_crf.Field.learn
+    try:
+        language_crf.Field.learn = lambda self, texts, labels, seed=11: seen.update(n=Counter(labels.tolist()), languages=self.languages)
+        language_crf.train(d, F.lit(True), 10)
+    finally:
+        language_crf.Field.learn = keep
+    assert len(seen["languages"]) == 300 and max(seen["n"].values()) == 10 and min(seen["n"].values()) == 3
+
+
 def test_long_words_count_in_full():
     words = [b"abcd" * 3, b"x" * 12 + b"middle" * 5 + b"y" * 12, b"x" * 12 + b"y" * 12, b"a"]
     owner, ids = language_crf.features(words)
