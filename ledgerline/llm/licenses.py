@@ -86,6 +86,27 @@ TEXTS = [
     ("proprietary", r"proprietary and confidential|confidential and proprietary", "proprietary"),
     ("proprietary", r"may not be (?:copied|reproduced|distributed)[^.]{0,60} without (?:the )?(?:prior |express )*(?:written )?permission", "may not be"),
     ("json", r"the software shall be used for good, not evil", "not evil"),
+    ("apache-2.0", r"you may not use this file except in compliance with the licen[sc]e", "except in compliance"),
+    ("mpl-2.0", r"this source code form is subject to the terms of the mozilla public licen[sc]e,? v\.? ?2\.0", "source code form"),
+    ("mpl-1.1", r"the contents of this file are subject to the mozilla public licen[sc]e version 1\.1", "contents of this file"),
+    ("epl-2.0", r"the accompanying materials are made available under the terms of the eclipse public licen[sc]e v?\.? ?2\.0", "accompanying materials"),
+    ("gpl", r"either version [0-9](?:\.[0-9])? of the licen[sc]e,? or \(?at your option\)? any later version", "at your option"),
+    ("bsl-1.0", r"permission is hereby granted, free of charge, to any person or organization obtaining a copy", "hereby granted"),
+    ("zlib", r"altered source versions must be plainly marked as such", "altered source"),
+    ("openssl", r"this product includes software developed by the openssl project", "openssl"),
+    ("ofl-1.1", r"the requirement for fonts to remain under this licen[sc]e does not apply", "requirement for fonts"),
+    ("artistic-1.0", r"modify it under the same terms as perl(?: itself)?", "same terms as"),
+    ("python", r"psf hereby grants licensee a nonexclusive, royalty-free, world-?wide licen[sc]e", "royalty-free"),
+    ("postgresql", r"permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee", "without fee"),
+    ("x11", r"shall not be used in advertising or otherwise to promote the sale", "promote the sale"),
+    ("cc0-1.0", r"waived all copyright and related or neigh?bou?ring rights", "waived all copyright"),
+    ("gfdl", r"with no invariant sections, no front-cover texts,? and no back-cover texts", "invariant sections"),
+    ("cecill", r"ce logiciel est r[e\u00e9]gi par la licence cecill", "ce logiciel"),
+    ("proprietary", r"unauthori[sz]ed (?:copying|reproduction|distribution|use)[^.]{0,80} is (?:strictly )?prohibited", "prohibited"),
+    ("proprietary", r"(?:contains|constitutes?) (?:the )?trade secrets?", "trade secret"),
+    ("proprietary", r"for internal use only", "internal use only"),
+    ("proprietary", r"no part of this (?:publication|book|document) may be reproduced", "no part of this"),
+    ("public-domain", r"no copyright is claimed|dedicate any and all copyright interest", "copyright"),
     ("beerware", r"beer-?ware licen[sc]e|you can buy me a beer", "beer"),
 ]
 
@@ -147,7 +168,10 @@ def searched(text: Column) -> Column:
     return out
 
 
-_MATCH = "array<struct<start:int,end:int,priority:int,label:string,confidence:double>>"
+_MATCH = "struct<start:int,end:int,priority:int,label:string,confidence:double>"
+#: The same in the order in which matches are swept.
+_SORTED = "struct<start:int,minus_end:int,minus_priority:int,label:string,confidence:double>"
+BLOCK = 64
 _SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _BASE_KEY = "license"
 
@@ -157,27 +181,46 @@ def _bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _places(text: Column, rule: Column) -> Column:
-    """Where a rule matches: pieces between matches and the matches themselves give the starts."""
+def _scan(items: Column, zero: Column, kind: str, step, emit) -> Column:
+    """emit(state, item) of each item, state going on by step(state, item). Results are appended to blocks of BLOCK, since an append copies its array: the time is linear in the number of items."""
+    none = lambda t: F.expr(f"cast(array() as array<{t}>)").alias("out")
+
+    def over(xs):
+        last = F.greatest(F.lit(0), F.ceil(F.size(xs) / BLOCK).cast("int") - 1)
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(xs, i * BLOCK + 1, F.lit(BLOCK)))
+
+        def block(acc, part):
+            one = lambda a, x: F.struct(step(a["state"], x).alias("state"), F.array_append(a["out"], emit(a["state"], x)).alias("out"))
+            done = F.aggregate(part, F.struct(acc["state"].alias("state"), none(kind)), one)
+            return _bind(done, lambda d: F.struct(d["state"].alias("state"), F.array_append(acc["out"], d["out"]).alias("out")))
 
-    def spans(found, parts):
-        begin = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("spans"))
-        both = F.zip_with(found, F.slice(parts, F.lit(1), F.size(found)), lambda f, p: F.struct(F.length(p).alias("gap"), F.length(f).alias("size")))
-        step = lambda acc, x: F.struct((acc["at"] + x["gap"] + x["size"]).alias("at"), F.array_append(acc["spans"], F.struct((acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["size"]).alias("end"))).alias("spans"))
-        return F.aggregate(both, begin, step, lambda acc: acc["spans"])
+        return F.aggregate(blocks, F.struct(zero.alias("state"), none(f"array<{kind}>")), block, lambda acc: F.flatten(acc["out"]))
 
+    return _bind(items, over)
+
+
+def _places(text: Column, rule: Column) -> Column:
+    """Where a rule matches, as MATCH sorts them: pieces between matches and the matches themselves give the starts."""
     found = F.regexp_extract_all(text, rule["regex"], F.lit(0))
-    return F.transform(_bind(found, lambda f: spans(f, F.split(text, rule["regex"], -1))), lambda s: F.struct(s["start"], s["end"], rule["priority"].alias("priority"), rule["label"].alias("label"), rule["confidence"].alias("confidence")))
+    sizes = lambda f: F.zip_with(f, F.slice(F.split(text, rule["regex"], -1), F.lit(1), F.size(f)), lambda m, p: F.struct(F.length(p).alias("gap"), F.length(m).alias("size")))
+    end = lambda at, x: at + x["gap"] + x["size"]
+    match = lambda at, x: F.struct((at + x["gap"]).alias("start"), (-end(at, x)).alias("minus_end"), (-rule["priority"]).alias("minus_priority"), rule["label"].alias("label"), rule["confidence"].alias("confidence"))
+    return _scan(_bind(found, sizes), F.lit(0), _SORTED, end, match)
 
 
 def _kept(matches: Column) -> Column:
-    def over(o, m):
-        holds = (o["start"] <= m["start"]) & (o["end"] >= m["end"])
-        longer = o["end"] - o["start"] > m["end"] - m["start"]
-        same = (o["end"] - o["start"] == m["end"] - m["start"]) & (o["label"] < m["label"])
-        return holds & ((o["priority"] > m["priority"]) | ((o["priority"] == m["priority"]) & (longer | same)))
+    """Matches that don't lie within another of higher priority, or of the same priority that is longer, or in the same place with a label that sorts first (or that is the same).
 
-    return _bind(F.array_distinct(matches), lambda ms: F.filter(ms, lambda m: ~F.exists(ms, lambda o: over(o, m))))
+    In order of start, then of end downwards, priority downwards and label, whatever a match lies within stands before
+    it, and it lies within one of them if their largest end reaches its own: for each priority the largest end of
+    those with so much priority or more is carried along.
+    """
+    levels = sorted({r["priority"] for r in rules()})
+    own = lambda state, x: F.coalesce(*(F.when(x["minus_priority"] == -p, state[f"p{p}"]) for p in levels))
+    step = lambda state, x: F.struct(*(F.greatest(state[f"p{p}"], F.when(x["minus_priority"] <= -p, -x["minus_end"])).alias(f"p{p}") for p in levels))
+    kept = lambda state, x: F.when(own(state, x) < -x["minus_end"], F.struct(x["start"], (-x["minus_end"]).alias("end"), (-x["minus_priority"]).alias("priority"), x["label"], x["confidence"]))
+    zero = F.struct(*(F.lit(-1).alias(f"p{p}") for p in levels))
+    return F.filter(_scan(F.array_sort(matches), zero, _MATCH, step, kept), lambda m: m.isNotNull())
 
 
 def _base(ws: Column) -> Column:
@@ -214,7 +257,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         "doc_id",
         count.cast("long").alias("n_words"),
         F.when(F.array_contains("pieces", _BASE_KEY), _base(F.filter("pieces", lambda w: w != ""))).otherwise(F.expr("cast(array() as array<struct<at:bigint,label:string>>)")).alias("base"),
-        F.when(searched(F.col("low")), _kept(found)).otherwise(F.expr(f"cast(array() as {_MATCH})")).alias("matches"),
+        F.when(searched(F.col("low")), _kept(found)).otherwise(F.expr(f"cast(array() as array<{_MATCH}>)")).alias("matches"),
     )
     named = lambda a: F.transform(a, lambda x: x["label"])
     joined = lambda a: F.array_join(F.array_sort(F.array_distinct(a)), ",")

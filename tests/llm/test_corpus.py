@@ -2,9 +2,11 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from fractions import Fraction
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -211,6 +213,47 @@ def test_license_labels_and_places(spark):
     assert (got[1].n_base, got[1].first_word, got[1].last_word, got[1].n_words) == (2, 1, 4, 6)
 
 
+def scanned(text):
+    """Base columns, labels, score and kept matches by brute force: all rules over the text, every match against every other."""
+    low = text.lower()
+    found = {(m.start(), m.end(), r["priority"], r["label"], r["confidence"]) for r in licenses.rules() if r["keyword"] in low for m in re.finditer(r["regex"], low)}
+    over = lambda o, m: o[0] <= m[0] and o[1] >= m[1] and (o[2] > m[2] or (o[2] == m[2] and (o[1] - o[0] > m[1] - m[0] or (o[:2] == m[:2] and o[3] < m[3]))))
+    kept = {m for m in found if not any(over(o, m) for o in found)}
+    ws = [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text)) if w]
+    base = [(i, label) for i in range(len(ws)) for phrase, label in licenses.PHRASES.items() if tuple(ws[i : i + len(phrase)]) == phrase]
+    plain = sorted({label for _, label in base})
+    score = max([m[4] for m in kept] + [0.5 if base else 0.0])
+    return (len(ws), len(base), base[0][0] if base else None, base[-1][0] if base else None, ",".join(plain), ",".join(sorted({*plain, *(m[3] for m in kept)})), score, sorted(kept))
+
+
+def found_by_scan(df):
+    return {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score, sorted(map(tuple, r.matches))) for r in licenses.scan_licenses(df).collect()}
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="needs the driver's tables")
+def test_licenses_of_a_whole_table_by_brute_force(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert found_by_scan(d) == {r.doc_id: scanned(r.text or "") for r in d.collect()}
+
+
+def test_licenses_by_brute_force(spark):
+    r, plain = random.Random(3), ["Apache License", "MIT license", "GNU General Public License, version 2 or (at your option) any later version", "licensed under the Apache License, Version 2.0", "BSD 3-Clause", "CC BY-SA 4.0", "all rights reserved", "SPDX-License-Identifier: GPL-2.0-only", "Mozilla Public License 2.0", "permission is hereby granted, free of charge, to any person obtaining a copy"]
+    texts = [" ".join(r.choice(plain) if r.random() < 0.4 else r.choice(vocabulary(3)) for _ in range(n)) for n in (0, 1, 5, 30, 300, 300)]
+    got = found_by_scan(docs(spark, [(i, t, "s") for i, t in enumerate(texts)]))
+    assert got == {i: scanned(t) for i, t in enumerate(texts)}
+
+
+def test_repeated_notices_take_linear_time(spark):
+    notice = "Licensed under the Apache License, Version 2.0 by the MIT license. "
+    took = []
+    for n in (500, 1000, 8000):
+        began = time.time()
+        (row,) = licenses.scan_licenses(docs(spark, [(1, notice * n, "s")])).collect()
+        took.append(time.time() - began)
+        assert row.n_base == 2 * n and row.labels == "apache,apache-2.0,mit" and len(row.matches) == 2 * n
+    assert took[2] < 8 * took[1] + 5
+
+
 def test_licenses_beside_other_characters(spark):
     texts = {"See \u201cApache License\u201d.": "apache", "under GPLv3\u2014see": "gpl-3", "\u8bb8\u53efApache License\u8bb8\u53ef": "apache", "Mozilla Public LicenseV2": "mpl,mpl-2.0", "xBSD-3-Clausey": "bsd-3-clause", "MPL 2.0\u3002": "mpl-2.0"}
     got = {r.doc_id: r for r in licenses.scan_licenses(docs(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
