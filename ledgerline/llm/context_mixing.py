@@ -45,6 +45,8 @@ CELLS = 33
 #: The end token's place among word hashes.
 END = -(1 << 63) + 12345
 _PAD = b"\0" * BACK
+#: The lowest k + 1 bytes.
+_MASKS = np.array([(1 << 8 * (k + 1)) - 1 for k in range(BACK + 1)], dtype=np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\x0b\x0c\r\0")] = True
 
@@ -57,12 +59,15 @@ def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     begins = np.concatenate(([0], np.cumsum(sizes + BACK)[:-1])) + BACK
     owner = np.repeat(np.arange(len(texts)), sizes)
     at = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + begins[owner]
-    packed = raw[at].astype(np.uint64)
-    inside = np.ones(len(at), bool)  # no white space between this lag and the byte
-    for lag in range(1, BACK + 1):
-        byte = raw[at - lag]
-        packed |= (byte if lag <= ACROSS else np.where(inside, byte, 0)).astype(np.uint64) << np.uint64(8 * lag)
-        inside &= ~_SPACE[byte]
+    # eight bytes from each place on, as numbers whose lowest byte is the last
+    every = np.ndarray(len(raw) - BACK, dtype=">u8", buffer=raw, strides=(1,))
+    back = at - BACK
+    packed = every[back].astype(np.uint64)
+    # bytes before the last white space do not count, unless they are near
+    place = np.arange(len(raw), dtype=np.int32)
+    space = np.maximum.accumulate(np.where(_SPACE[raw], place, 0))
+    far = np.clip(at - space[at - 1], ACROSS, BACK)
+    packed &= _MASKS[far]
     return packed.view(np.int64), owner
 
 
