@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of narrow tables (ids, counts) up to which a side is broadcast after it has been counted.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 500_000
 #: Rows that one file of a narrow table holds about, and the least number of files.
 FILE_ROWS, LEAST_FILES = 100_000, 6
 #: Bytes of text that one numpy pass takes at a time.
