@@ -252,7 +252,10 @@ def _looked_up(keys: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> tuple[
     """(value or 0, found) of each key in a table sorted by key."""
     if not len(table[0]):
         return np.zeros(len(keys)), np.zeros(len(keys), bool)
-    at = np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
+    order = np.argsort(keys)  # neighbours in the table one after the other
+    at = np.empty(len(keys), np.int64)
+    at[order] = np.searchsorted(table[0], keys[order])
+    at = np.minimum(at, len(table[0]) - 1)
     found = table[0][at] == keys
     return np.where(found, table[1][at], 0.0), found
 
@@ -260,14 +263,12 @@ def _looked_up(keys: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> tuple[
 _REST = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64())]))
 
 
-def _loose(n_texts: int, owner: np.ndarray, keys: np.ndarray) -> pa.Array:
-    """For each text its keys and how often it holds each."""
-    order = np.lexsort((keys, owner))
-    owner, keys = owner[order], keys[order]
-    first = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (keys[1:] != keys[:-1])))[: len(keys)])
-    n = np.diff(np.append(first, len(keys)))
-    ends = np.concatenate(([0], np.cumsum(np.bincount(owner[first], minlength=n_texts)))).astype(np.int32)
-    items = pa.StructArray.from_arrays([pa.array(keys[first]), pa.array(n)], fields=list(_REST.value_type))
+def _loose(n_texts: int, owner: np.ndarray, codes: np.ndarray, kinds: np.ndarray) -> pa.Array:
+    """For each text its keys (places in kinds) and how often it holds each."""
+    pairs, n = np.unique(owner * max(1, len(kinds)) + codes, return_counts=True)
+    texts, codes = np.divmod(pairs, max(1, len(kinds)))
+    ends = np.concatenate(([0], np.cumsum(np.bincount(texts, minlength=n_texts)))).astype(np.int32)
+    items = pa.StructArray.from_arrays([pa.array(kinds[codes]), pa.array(n)], fields=list(_REST.value_type))
     return pa.ListArray.from_arrays(pa.array(ends), items)
 
 
@@ -283,13 +284,13 @@ def _scores(shared):
             base = np.bincount(owner, gain[codes], minlength=len(texts)).astype(np.float64)
             known = np.bincount(owner, found[codes], minlength=len(texts)).astype(np.int64)
             loose = np.flatnonzero(~found[codes]) if not all_words else np.zeros(0, np.int64)
-            rest = _loose(len(texts), owner[loose], hashes[loose].view(np.int64))
+            rest = _loose(len(texts), owner[loose], codes[loose], kinds)
             packed, own = windows(texts)
             codes, kinds = pd.factorize(packed)
             cost, found = _looked_up(kinds, top_windows)
             score = np.bincount(own, cost[codes], minlength=len(texts))
             loose = np.flatnonzero(~found[codes]) if not all_windows else np.zeros(0, np.int64)
-            rest2 = _loose(len(texts), own[loose], packed[loose])
+            rest2 = _loose(len(texts), own[loose], codes[loose], kinds)
             sizes = np.array([len(t) + 1 for t in texts])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n + 1), pa.array(sizes), pa.array(base), pa.array(known), pa.array(score), rest, rest2], names=["doc_id", "n_tokens", "bytes", "top_sum", "top_known", "top_score", "rest", "rest2"])
 
