@@ -23,6 +23,13 @@ def fetch_plan(wanted: DataFrame, watermarks: DataFrame, days: DataFrame, defaul
     return out.where("start <= end")
 
 
+def trimmed(payload: DataFrame, plan: DataFrame, day: str = "date") -> DataFrame:
+    """Payload rows from each ticker's own start on; a batch is fetched over the widest span. Rows without a day, as failures have none, stay."""
+    starts = plan.select(F.upper("ticker").alias("__t"), F.col("start").alias("__start")).distinct()
+    joined = payload.join(starts, F.upper("ticker") == F.col("__t"))
+    return joined.where(F.col(day).isNull() | (F.to_date(day) >= F.col("__start"))).drop("__t", "__start")
+
+
 def batches(plan: DataFrame, size: int = 200) -> DataFrame:
     """plan with batch: tickers of one provider whose datasets start on the same days go together, at most about `size` to a batch."""
     groups = plan.groupBy("provider", "ticker").agg(F.array_sort(F.collect_set(F.concat_ws("@", "dataset", "start"))).alias("signature"))

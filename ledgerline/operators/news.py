@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Suffix, time zone, calendar, last second of the day that still counts for the same session.
 MARKETS = [(".HK", "Asia/Hong_Kong", "XHKG", "15:30:00"), (".KS", "Asia/Seoul", "XKRX", "15:00:00"), (".KQ", "Asia/Seoul", "XKRX", "15:00:00")]
+#: Fields of a feed's articles.
+FEED = "title string, url string, time_published string, summary string, source string, overall_sentiment_score double, ticker_sentiment array<struct<ticker:string,relevance_score:string,ticker_sentiment_score:string>>"
 DEFAULT_MARKET = ("America/New_York", "XNYS", "15:30:00")
 
 

@@ -91,3 +91,22 @@ def momentum(closes: DataFrame) -> DataFrame:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def bounded(rows: DataFrame, first=None, last=None, tickers: list[str] | None = None) -> DataFrame:
+    """Rows of some tickers within [first, last]; None sets no bound."""
+    if first is not None:
+        rows = rows.where(F.col("date") >= F.lit(first).cast("date"))
+    if last is not None:
+        rows = rows.where(F.col("date") <= F.lit(last).cast("date"))
+    return rows if tickers is None else rows.where(F.col("ticker").isin(tickers))
+
+
+def latest(rows: DataFrame, key: str, order: str, columns: list[str]) -> DataFrame:
+    """(key, order, columns) of each key's last row; ties go to the largest columns."""
+    return rows.groupBy(key).agg(F.max(F.struct(order, *columns)).alias("__last")).select(key, "__last.*")
+
+
+def sample_sizes(panel: DataFrame) -> DataFrame:
+    """One row: how many days and tickers a panel has."""
+    return panel.agg(F.countDistinct("date").alias("n_dates"), F.countDistinct("ticker").alias("n_tickers"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators import adjust, dedupe, detect, ingest, news, tables
+from ledgerline.operators import adjust, dedupe, detect, ingest, news, reports, research, tables
 from ledgerline.plans import gate
 from ledgerline.sources import files, store
 
@@ -20,6 +22,7 @@ TABLES = {
     "universe_membership": ("index_name string, ticker string, effective_from date, effective_to date, source string, note string", ["index_name", "ticker", "effective_from"], None),
     "security_master": ("ticker string, exchange string, gic_sector string, gic_group string, gic_industry string, gic_sub_industry string, effective_from date, effective_to date", ["ticker", "effective_from"], None),
     "fundamentals_snapshot": ("ticker string, as_of date, note string", ["as_of", "ticker"], None),
+    "listing": ("directory string, ticker string, as_of date, security_name string, exchange string, market_category string, etf string, test_issue string, financial_status string, round_lot_size double", ["directory", "ticker", "as_of"], None),
     "news_articles": ("article_id string, published_at timestamp, ingested_at timestamp, source string, provider string, title string, summary string, url string, overall_sentiment_score double, year int", ["article_id"], None),
     "news_ticker_sentiment": ("article_id string, ticker string, published_at timestamp, ingested_at timestamp, relevance double, score_av double, score_finbert double, finbert_revision string", ["article_id", "ticker"], None),
     "sentiment_daily": ("ticker string, date date, sent_av double, sent_finbert double, n_articles long, log_n_articles double, rel_sum double, year int", ["ticker", "date"], "year"),
@@ -146,16 +149,44 @@ class Lake:
     def take_fundamentals(self, raw: DataFrame, as_of, note: str = "") -> dict[str, int]:
         return self._put("fundamentals_snapshot", tables.coerce_numeric(files.screener(raw, as_of, note), keep=("ticker", "note", "sector", "industry")))
 
-    def ingest(self, provider: str, dataset: str, fetch, wanted: DataFrame, days: DataFrame, default_start, end) -> DataFrame:
+    def _taken(self, provider: str, dataset: str, fetch, plan: DataFrame, run_id: str, day: str) -> str | None:
+        """Fetches one plan, writes its payload from each ticker's own start on, and gives the error if there was one."""
+        try:
+            store.write_raw(ingest.trimmed(fetch(plan), plan, day).withColumn("ingested_at", F.current_timestamp()), self.root, provider, dataset, run_id)
+        except Exception as e:  # one vendor's answer must not stop the run  # noqa: BLE001
+            return f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"[:300]
+        return None
+
+    def ingest(self, provider: str, dataset: str, fetch, wanted: DataFrame, days: DataFrame, default_start, end, size: int = 200) -> DataFrame:
         """Fetches what is missing and gives the run's manifest rows.
 
         fetch(plan) returns the payload (ticker, date or ex_date, ...) for a plan of (provider, dataset, ticker, start, end);
-        a `status` column other than 'ok' marks a ticker as failed, with its `error`. Tickers without rows keep their watermark.
+        a `status` column other than 'ok' marks a ticker as failed, with its `error`. Tickers that start on one day are fetched
+        together, about `size` at a time; where that fails, one by one, so that a failure is a ticker's own. Tickers without rows keep their watermark.
         """
         run_id, day = uuid.uuid4().hex, "ex_date" if dataset == "corporate_actions" else "date"
         plan = ingest.fetch_plan(wanted, tables.watermark_latest(self._log("watermarks")), days, default_start, end)
-        path = store.write_raw(fetch(plan).withColumn("ingested_at", F.current_timestamp()), self.root, provider, dataset, run_id)
-        got = self.spark.read.parquet(path)
+        path = f"{self.root}/state/plans/{run_id}"
+        ingest.batches(plan, size).write.parquet(path)  # what was asked doesn't change while it's answered
+        batched = self.spark.read.parquet(path)
+        plan, runs, failed = batched.drop("batch"), [], []
+        for n, (batch,) in enumerate(batched.select("batch").distinct().orderBy("batch").collect()):
+            part = batched.where(F.col("batch") == batch).drop("batch")
+            name = f"{run_id}-{n:05}"
+            if self._taken(provider, dataset, fetch, part, name, day) is None:
+                runs.append(name)
+                continue
+            for k, (ticker,) in enumerate(part.select("ticker").distinct().orderBy("ticker").collect()):  # a batch's tickers
+                alone = f"{name}-{k:05}"
+                error = self._taken(provider, dataset, fetch, part.where(F.col("ticker") == ticker), alone, day)
+                if error is None:
+                    runs.append(alone)
+                else:
+                    failed.append((ticker, "failed", error))
+        got = self.raw_frame(provider, dataset, runs=runs)
+        got = self.spark.createDataFrame([], f"ticker string, {day} date") if got is None else got
+        if failed:
+            got = got.unionByName(self.spark.createDataFrame(failed, "ticker string, status string, error string"), allowMissingColumns=True)
         status = F.col("status") if "status" in got.columns else F.lit("ok")
         error = F.col("error") if "error" in got.columns else F.lit(None).cast("string")
         sums = got.groupBy("ticker").agg(F.max(F.to_date(day)).alias("last_date"), F.count(day).alias("rows_fetched"), F.max(F.when(status != "ok", status)).alias("bad"), F.max(error).alias("error"))
@@ -165,6 +196,127 @@ class Lake:
         store.append_log(marks.select(*(c.split(" ")[0] for c in _LOGS["watermarks"].split(", "))), f"{self.root}/state/watermarks")
         return self._log("manifest").where(F.col("run_id") == run_id)
 
+    def raw_frame(self, provider: str, dataset: str, tickers: list[str] | None = None, runs: list[str] | None = None) -> DataFrame | None:
+        """All raw payloads of a provider's dataset, or those of some runs; None if there are none."""
+        path = f"{self.root}/raw/provider={provider}/dataset={dataset}"
+        fs, where = store._fs(self.spark, path)
+        if not fs.exists(where) or runs is not None and not runs:
+            return None
+        paths = [path] if runs is None else [f"{path}/run_id={r}" for r in runs]
+        df = self.spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*paths)
+        return df if tickers is None else df.where(F.upper("ticker").isin([t.upper() for t in tickers]))
+
+    def latest_raw(self, provider: str, dataset: str, tickers: list[str] | None = None) -> DataFrame:
+        """One provider's raw bars, the latest capture of each ticker and day."""
+        df = self.raw_frame(provider, dataset, tickers)
+        if df is None:
+            raise ValueError(f"no raw {dataset} of {provider}")
+        return dedupe.latest_wins(canonical_bars(df), ["ticker", "date"], "ingested_at", ["close", "volume"])
+
+    def _write_text(self, name: str, text: str) -> str:
+        path = f"{self.root}/reports/{name}.md"
+        fs, where = store._fs(self.spark, path)
+        stream = fs.create(where, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        return text
+
+    def reconcile(self, a: str, b: str, dataset: str = "ohlcv_daily", tickers: list[str] | None = None, fields: tuple[str, ...] = (*PRICES, "volume")) -> str:
+        """Two providers' raw bars field by field; rows and a text are kept, the text is given."""
+        rows = tables.reconcile(self.latest_raw(a, dataset, tickers), self.latest_raw(b, dataset, tickers), list(fields), (a, b))
+        run_id = uuid.uuid4().hex
+        rows.withColumn("run_id", F.lit(run_id)).write.parquet(f"{self.root}/reconciliation/{run_id}")
+        return self._write_text(f"reconciliation-{run_id}", reports.reconciliation_text(self.spark.read.parquet(f"{self.root}/reconciliation/{run_id}"), a, b))
+
+    def validation_report(self, run_id: str) -> str:
+        """Text of a run's flags, kept under reports."""
+        flags = self.table("validation_flags").where(F.col("run_id") == run_id)
+        return self._write_text(f"validation-{run_id}", reports.flags_text(detect.flag_summary(flags), detect.most_flagged(flags), run_id))
+
+    def curate(self, dataset: str) -> dict:
+        """All raw payloads of a dataset, whichever provider they are of, into its tables."""
+        path = f"{self.root}/raw"
+        raw = self.spark.read.option("basePath", path).option("mergeSchema", "true").parquet(f"{path}/provider=*/dataset={dataset}")
+        raw = raw.withColumn("source", F.col("provider"))
+        if dataset == "news":
+            return self.curate_news(raw)
+        return self.curate_bars(raw) if dataset == "ohlcv_daily" else self.curate_actions(raw)
+
+    def members(self, index_name: str, day) -> DataFrame:
+        return tables.members_as_of(self.table("universe_membership"), day, index_name)
+
+    def seed_universe(self, tickers: list[str], index_name: str, as_of, note: str = "static list of today's members: survivorship bias") -> dict[str, int]:
+        """Opens memberships from a fixed list."""
+        rows = self.spark.createDataFrame([(index_name, t.strip().upper()) for t in tickers], "index_name string, ticker string").distinct()
+        return self._put("universe_membership", rows.withColumns({"effective_from": F.lit(as_of).cast("date"), "source": F.lit("seed"), "note": F.lit(note)}))
+
+    def refresh_directory(self, lines: DataFrame, names: dict[str, str], as_of, index_name: str | None = None) -> DataFrame:
+        """A listing directory's lines as a raw snapshot, a table of its rows and changes of rosters. index_name: all common stocks are its members; None: by exchange."""
+        path = store.write_raw(lines, self.root, "directory", "listing", uuid.uuid4().hex)
+        kept = self.spark.read.parquet(path)
+        header = next(line for (line,) in kept.where(F.contains("value", F.lit("|")) & F.contains("value", F.lit("Security Name"))).limit(1).collect())
+        rows = files.listing(kept, header, names)
+        self._put("listing", rows.withColumns({"as_of": F.lit(as_of).cast("date"), "directory": F.lit(index_name or "other")}))
+        target = files.rosters(rows) if index_name is None else tables.common_stocks(rows).select(F.lit(index_name).alias("index_name"), "ticker").distinct()
+        return self.refresh_roster(target, as_of, "directory")
+
+    def ingest_news(self, fetch_day, last, first, quota: int = 25, pages_a_day: int = 25, stream: str = "_FIREHOSE_") -> dict:
+        """The news stream day by day after its watermark: fetch_day(day) -> (articles, whole). Empty days count as read; the first day that fails or isn't whole ends the run."""
+        marks = tables.watermark_latest(self._log("watermarks")).where(F.col("ticker") == stream).select("high_water_date").first()
+        days, much = ingest.day_plan(marks[0] if marks else pd.Timestamp(first) - pd.Timedelta(days=1), last, pages_a_day, quota)
+        run_id, done, error, n = uuid.uuid4().hex, [], None, 0
+        for day in days:
+            try:
+                items, whole = fetch_day(day)
+                if not whole:
+                    raise ValueError(f"more pages than allowed on {day}")
+            except Exception as e:  # days after it stay to be read  # noqa: BLE001
+                error = f"{type(e).__name__}: {e}"
+                break
+            if items:
+                feed = self.spark.createDataFrame([(json.dumps(i),) for i in items], "item string").select(F.from_json("item", news.FEED).alias("i")).select("i.*")
+                rows = dedupe.first_wins(news.parse_feed(feed, "firehose"), ["article_id", "ticker"], "published_at", ["title"])
+                store.write_raw(rows.withColumn("ingested_at", F.current_timestamp()), self.root, "firehose", "news", f"{run_id}-{day}")
+                n += len(items)
+            done.append((day, "firehose", "news", stream))
+        if done:
+            marks = self.spark.createDataFrame(done[-1:], "high_water_date date, provider string, dataset string, ticker string").withColumns({"run_id": F.lit(run_id), "updated_at": F.current_timestamp()})
+            store.append_log(marks.select(*(c.split(" ")[0] for c in _LOGS["watermarks"].split(", "))), f"{self.root}/state/watermarks")
+        return {"days": len(done), "articles": n, "over_quota": much, "error": error}
+
+    def closes(self, first=None, last=None, tickers: list[str] | None = None) -> DataFrame:
+        """(ticker, date, close): adjusted closes within the bounds."""
+        self.views()
+        return research.bounded(self.spark.table("ohlcv_daily_adj").select("ticker", "date", "close"), first, last, tickers)
+
+    def research(self, start=None, end=None) -> str:
+        """Information coefficients and an event study of sentiment; closes go on beyond `end`, which bounds the factor alone."""
+        factor = research.bounded(self.table("sentiment_daily"), start, end)
+        score = "sent_finbert" if factor.where("sent_finbert is not null").limit(1).count() else "sent_av"
+        closes = self.closes(start)
+        sizes = research.sample_sizes(factor.where(F.col(score).isNotNull()))
+        text = reports.research_text(research.ic_decay(factor, closes, score), research.event_study(closes, research.find_events(factor, score, 0.35)), f"Sentiment ({score})")
+        return self._write_text(f"research-{uuid.uuid4().hex}", f"{text}\n{reports.table(sizes)}\n")
+
+    def basket(self, names: list[str]) -> str:
+        """Metrics of the names that have bars, with their latest sentiment."""
+        days = research.bounded(self.table("sentiment_daily"), tickers=names)
+        latest = research.latest(days, "ticker", "date", ["sent_av", "n_articles"]).withColumnRenamed("date", "sentiment_date")
+        return reports.basket_text(research.basket_metrics(self.closes(), names), latest)
+
+    def one_pager(self, ticker: str) -> str:
+        text = reports.one_pager(ticker, research.momentum(self.closes(tickers=[ticker])), self.table("fundamentals_snapshot"), self.table("sentiment_daily"))
+        return self._write_text(f"one-pager-{ticker}", text)
+
+    def export(self, sql: str, path: str) -> str:
+        """A gated query's whole result as parquet or, by another ending, as CSV with a header."""
+        df = self.spark.sql(gate.guard(self.spark, sql, set(self.views())))
+        if path.endswith(".parquet"):
+            df.write.mode("overwrite").parquet(path)
+        else:
+            df.write.mode("overwrite").csv(path, header=True)
+        return path
+
     def failures(self, run_id: str) -> DataFrame:
         return self._log("manifest").where((F.col("run_id") == run_id) & (F.col("status") != "ok"))
 

@@ -68,3 +68,117 @@ def test_rosters_master_and_fundamentals(spark, lake):
     raw = spark.createDataFrame([("a", "1.5", "tech"), ("b", "n/a", "food")], "symbol string, pe string, sector string")
     lake.take_fundamentals(raw, "2024-01-02")
     assert {(r.ticker, r.pe) for r in lake.table("fundamentals_snapshot").collect()} == {("A", 1.5), ("B", None)}
+
+
+def bars_for(plan, spark, close=10.0):
+    days = plan.select("ticker", F.explode(F.sequence("start", "end")).alias("date"))
+    return days.select("ticker", "date", *(F.lit(x).alias(c) for c, x in (("open", close), ("high", close + 1), ("low", close - 1), ("close", close))), F.lit(100).cast("long").alias("volume"))
+
+
+def test_a_failure_is_a_tickers_own(spark, lake):
+    wanted = spark.createDataFrame([("v", "ohlcv_daily", t) for t in ("AA", "BAD", "CC")], "provider string, dataset string, ticker string")
+    asked = []
+
+    def fetch(plan):
+        names = [r.ticker for r in plan.collect()]
+        asked.append(names)
+        if "BAD" in names:
+            raise ValueError("no such symbol")
+        early = plan.withColumn("start", F.date_sub("start", 3))
+        return bars_for(early, spark)
+
+    run = lake.ingest("v", "ohlcv_daily", fetch, wanted, calendar.calendar_map(lake.sessions), "2024-01-04", "2024-01-10")
+    assert {r.ticker: (r.status, r.rows_fetched) for r in run.collect()} == {"AA": ("ok", 7), "BAD": ("failed", 0), "CC": ("ok", 7)}
+    assert asked[0] == ["AA", "BAD", "CC"] or sorted(asked[0]) == ["AA", "BAD", "CC"]
+    assert [r.error for r in lake.failures(run.first().run_id).collect()] == ["ValueError: no such symbol"]
+    assert lake.raw_frame("v", "ohlcv_daily").agg(F.min("date")).first()[0] == date(2024, 1, 4)
+
+
+def test_reconcile_export_and_reports(spark, lake, tmp_path):
+    wanted = lambda p: spark.createDataFrame([(p, "ohlcv_daily", "AA")], "provider string, dataset string, ticker string")
+    for p, close in (("a", 10.0), ("b", 10.02)):
+        lake.ingest(p, "ohlcv_daily", lambda plan, c=close: bars_for(plan, spark, c), wanted(p), calendar.calendar_map(lake.sessions), "2024-01-04", "2024-01-08")
+    assert "within_tolerance" in lake.reconcile("a", "b")
+    lake.curate("ohlcv_daily")
+    lake.validate(run_id="r")
+    assert lake.validation_report("r").startswith("# Validation r") and (tmp_path / "lake/reports/validation-r.md").exists()
+    assert spark.read.csv(lake.export("select ticker, count(*) as n from ohlcv_daily group by ticker", str(tmp_path / "out.csv")), header=True).collect()[0]["n"] == "5"
+    assert "| AA |" in lake.basket(["AA", "ZZ"]) and lake.one_pager("AA").startswith("# AA")
+    with pytest.raises(ValueError, match="no raw"):
+        lake.latest_raw("c", "ohlcv_daily")
+
+
+def test_news_stream_stops_at_the_first_failure(spark, lake):
+    item = {"title": "t", "url": "http://x/1", "time_published": "20240103T150000", "summary": "s", "source": "q", "overall_sentiment_score": 0.2, "ticker_sentiment": [{"ticker": "AA", "relevance_score": "0.5", "ticker_sentiment_score": "0.3"}]}
+
+    def fetch(day):
+        if day == date(2024, 1, 5):
+            raise ValueError("quota")
+        return ([item, item] if day == date(2024, 1, 3) else []), True
+
+    got = lake.ingest_news(fetch, "2024-01-06", "2024-01-03")
+    assert (got["days"], got["articles"], got["error"]) == (2, 2, "ValueError: quota")
+    asked = []
+    lake.ingest_news(lambda d: (asked.append(d) or [], True), "2024-01-06", "2024-01-03")
+    assert asked == [date(2024, 1, 5), date(2024, 1, 6)]
+    assert lake.curate("news")["tickers"]["rows_in"] == 1
+    lake.build_sentiment(calendar.calendar_map(lake.sessions))
+    assert "n_dates" in lake.research()
+
+
+def test_directories_and_commands(spark, lake, tmp_path):
+    from ledgerline import cli
+    from ledgerline.sources import files
+
+    def text(*rows):
+        path = tmp_path / f"{len(rows)}.txt"
+        path.write_text("\n".join(["|".join(files.NASDAQ), *("|".join((t, f"{t} Common", "Q", "N", "N", "100", "N", "N")) for t in rows), "File Creation Time: 0101|||||||"]))
+        return str(path)
+
+    said = []
+    run = lambda *argv: cli.run(spark, ["--root", lake.root, *argv], said.append)
+    run("refresh", "--file", text("AA", "BB"), "--as-of", "2024-01-02", "--index", "X")
+    run("refresh", "--file", text("BB", "CC", "DD"), "--as-of", "2024-02-01", "--index", "X")
+    assert [r[0] for r in lake.members("X", "2024-01-15").orderBy("ticker").collect()] == ["AA", "BB"]
+    assert [r[0] for r in lake.members("X", "2024-02-15").orderBy("ticker").collect()] == ["BB", "CC", "DD"]
+    run("seed", "AA,EE", "--as-of", "2024-02-01", "--index", "Y")
+    run("ingest", "bars", "--tickers", "AA,EE", "--start", "2024-01-02", "--end", "2024-01-31")
+    run("curate", "bars")
+    run("validate")
+    run("query", "select count(*) as n from ohlcv_daily")
+    run("status")
+    assert any("| ok | 2 |" in s for s in said) and any("Validation full" in s for s in said) and lake.table("listing").count() == 5
+
+
+def test_screening_talks(spark):
+    from ledgerline.plans import agents
+
+    facts = spark.createDataFrame([("AA", 10.0, "x"), ("BB", 20.0, "y")], "ticker string, pe double, sector string")
+    good = [{"ticker": "AA", "view": "fundamentals_snapshot", "column": "pe", "value": 10.0}]
+    said = iter(['{"sql": "select ticker, pe from fundamentals_snapshot"}', "words", '{"proposal": [{"ticker": "ZZ", "view": "fundamentals_snapshot", "column": "pe", "value": 1}]}', f'{{"proposal": {__import__("json").dumps(good)}}}'])
+    meter = agents.UsageMeter()
+    case = agents.screen(spark, "cheap names", {"fundamentals_snapshot": facts}, lambda messages: agents.Reply(next(said), 5, 2), lambda messages: 1 / 0, meter=meter)
+    assert case.passed and case.proposal == good and "AA | 10.0" in case.queries[0][1] and meter.tokens_in == 20
+    assert "Outcome: passed" in agents.case_text(spark, case, meter)
+    late = agents.screen(spark, "t", {"fundamentals_snapshot": facts}, lambda m: agents.Reply("{}"), turns=2)
+    assert late.error and not late.passed
+
+
+def test_requests_fail_alone(spark):
+    from ledgerline.sources import transports, vendors
+
+    def send(url):
+        if "BAD" in url:
+            raise ValueError("unknown")
+        return '{"chart":{"result":[{"timestamp":[1704205800],"events":{"dividends":{"1":{"amount":0.5,"date":1704205800}}},"indicators":{"quote":[{"open":[1.0],"high":[2.0],"low":[0.5],"close":[1.5],"volume":[9]}]}}]}}'
+
+    transports.register(spark, send)
+    got = transports.requested(spark, "history", ["AA", "BAD"], start="2024-01-02", end="2024-01-02", per_minute=60000)
+    assert {r.ticker: r.error for r in got.collect()} == {"AA": None, "BAD": "ValueError: unknown"}
+    wide = transports.chart_history(got)
+    assert [(r.ticker, r.date, r.close, r.volume) for r in vendors.history_bars(wide).collect()] == [("AA", date(2024, 1, 2), 1.5, 9)]
+    assert [(r.action_type, r.value) for r in vendors.history_actions(wide).collect()] == [("dividend", 0.5)]
+    assert [(a.day, b.day) for a, b in transports.spans(date(2024, 1, 1), date(2024, 1, 5), 2)] == [(1, 2), (3, 4), (5, 5)]
+    pages = iter(['{"feed": %s}' % str([{"time_published": "20240102T100000"}] * 1000).replace("'", '"'), '{"feed": []}'])
+    items, whole = transports.paged_day(date(2024, 1, 2), lambda url: next(pages))
+    assert len(items) == 1000 and whole
