@@ -209,8 +209,14 @@ def train(docs: DataFrame, usable: Column, per_language: int = PER_LANGUAGE) ->
     known = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     # the texts with the smallest hashes of each language: narrow rows, of which a task hands on per_language at most
     narrow = known.select("lang", F.xxhash64(F.lit("language"), "doc_id", "text").alias("draw"))
-    first = Window.partitionBy("lang").orderBy("draw")
-    chosen = Stash(narrow.distinct().withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_language).select(F.col("lang").alias("l"), "draw"))
+    kinds = Stash(narrow.distinct())
+    # hashes below a share that holds about 1.5 times what is wanted, so that little of a language is put in order
+    share = F.least(F.lit(1.0), F.lit(1.5 * (per_language + 50)) / F.count("*"))
+    shares = kinds.read().groupBy("lang").agg(share.alias("share")).withColumnRenamed("lang", "l")
+    low = F.pmod("draw", F.lit(1 << 40)) <= F.col("share") * float(1 << 40)
+    drawn = kinds.read().join(sized(Stash(shares).read()), F.col("lang") == F.col("l")).where(low)
+    first = Window.partitionBy("lang").orderBy(F.pmod("draw", F.lit(1 << 40)), "draw")
+    chosen = Stash(drawn.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_language).select(F.col("lang").alias("l"), "draw"))
     own = known.withColumn("draw", F.xxhash64(F.lit("language"), "doc_id", "text"))
     drawn = own.join(sized(chosen.read()).withColumnRenamed("draw", "d"), (F.col("draw") == F.col("d")) & (F.col("lang") == F.col("l")))
     # per_language texts a language; repeated rows count once
