@@ -464,10 +464,13 @@ def synthetic_bars(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
+    from ledgerline.plans import catalog_jobs  # noqa: F401  registers its own
+
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_oracles)
 
 
