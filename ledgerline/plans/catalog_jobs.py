@@ -23,11 +23,15 @@ EARLY, LATE = datetime(2024, 1, 1), datetime(2024, 2, 1)
 
 def _scratch(spark: SparkSession) -> str:
     """A folder that driver and executors share; the session's end removes it."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerline-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="ledgerline-")
     path = f"{base.rstrip('/')}/lake-{uuid.uuid4().hex}"
 
     def remove() -> None:
-        if spark.sparkContext._jvm is not None:
+        if spark.sparkContext._jvm is not None and spark.sparkContext._jsc is not None:  # else the session ended first
             fs, where = store._fs(spark, path)
             fs.delete(where, True)
 
