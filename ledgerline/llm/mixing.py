@@ -63,7 +63,15 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, size:
     drawn = drawn.withColumn("draw", _draw(f"copies:{seed}", "d.doc_id") / F.lit(2.0**52))
     drawn = drawn.withColumn("copies", F.size(F.filter("cdf", lambda x: x <= F.col("draw")))).where("copies > 0")
     out = drawn.select(*own, "rate", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("replica"))
-    return out.withColumn("shuffle_key", _draw(f"order:{seed}", "doc_id", "replica")).orderBy("shuffle_key", "replica")
+    out = out.withColumn("shuffle_key", _draw(f"order:{seed}", "doc_id", "replica"))
+    # keys are spread evenly over 52 bits, so the bounds of ranges are known without a look at the rows
+    parts = int(spark_conf(docs, "spark.sql.shuffle.partitions"))
+    share = F.floor(F.col("shuffle_key") / F.lit(2.0**52) * parts).cast("int")
+    return out.repartitionById(parts, share).sortWithinPartitions("shuffle_key", "replica")
+
+
+def spark_conf(df: DataFrame, name: str) -> str:
+    return df.sparkSession.conf.get(name)
 
 
 #: The same in DuckDB: equal weights, the corpus' own size.

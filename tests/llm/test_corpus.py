@@ -86,6 +86,16 @@ def test_poisson_rates(spark):
     assert [r.source for r in named] == ["small"]
 
 
+def test_mixed_rows_are_in_one_order_over_all(spark):
+    rows = [(i, f"t{i}", "big" if i % 3 else None) for i in range(400)] + [(7, "t7", "big"), (None, "x", "big"), (900, None, "big")]
+    got = mixing.mix_sources(docs(spark, rows)).select("shuffle_key", "replica", "doc_id", "source").collect()
+    assert [r.shuffle_key for r in got] == sorted(r.shuffle_key for r in got)
+    n = Counter(r.doc_id for r in got)
+    alone = Counter(r.doc_id for r in mixing.mix_sources(docs(spark, rows)).where("replica = 1").collect())
+    assert alone[7] in (0, 2) and n[7] % 2 == 0 and {r.source for r in got} == {"big", None}
+    assert mixing.mix_sources(docs(spark, rows), size=0).collect() == [] == mixing.mix_sources(docs(spark, rows), {}).collect()
+
+
 def test_trees_learn_a_rule():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(2000, len(quality_trees.FEATURES)))
