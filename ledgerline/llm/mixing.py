@@ -82,8 +82,8 @@ k AS (SELECT source, rate, unnest(range(0, CAST(ceil(rate + 12 * sqrt(rate) + 20
 logs AS (SELECT *, sum(CASE WHEN k > 0 THEN ln(k) ELSE 0 END) OVER (PARTITION BY source ORDER BY k ROWS UNBOUNDED PRECEDING) AS lf FROM k),
 cdf AS (SELECT source, rate, k, sum(CASE WHEN rate > 0 THEN exp(k * ln(rate) - rate - lf) WHEN k = 0 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY source ORDER BY k ROWS UNBOUNDED PRECEDING) AS cdf FROM logs),
 steps AS (SELECT source, rate, list(cdf ORDER BY k) AS cdf FROM cdf GROUP BY source, rate),
-drawn AS (SELECT d.doc_id, d.text, d.source, s.rate, len(list_filter(s.cdf, lambda x: x <= ('0x' || substr(md5('copies:{SEED}:' || d.doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)) AS copies
+drawn AS (SELECT d.doc_id, d.text, d.source, s.rate, len(list_filter(s.cdf, lambda x: x <= ('0x' || substr(md5('copies:{SEED}:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)) AS copies
   FROM documents d JOIN steps s ON d.source IS NOT DISTINCT FROM s.source),
 copied AS (SELECT doc_id, text, source, rate, CAST(unnest(range(1, copies + 1)) AS INTEGER) AS replica FROM drawn)
-SELECT doc_id, text, source, round(rate, 9) AS rate, replica, ('0x' || substr(md5('order:{SEED}:' || doc_id || ':' || replica), 1, 13))::BIGINT AS shuffle_key FROM copied
+SELECT doc_id, text, source, round(rate, 9) AS rate, replica, ('0x' || substr(md5('order:{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || replica), 1, 13))::BIGINT AS shuffle_key FROM copied
 """
