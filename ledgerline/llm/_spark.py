@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import shutil
 import sys
 import tempfile
 import uuid
@@ -38,7 +39,6 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="ledgerline-"))
-        spark.sparkContext.setCheckpointDir(_own_dir[0])
     return _own_dir[0]
 
 
@@ -54,6 +54,7 @@ def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
         _shipped.add(sc.applicationId)
         root = Path(__file__).resolve().parents[1]
         target = Path(tempfile.mkdtemp(prefix="ledgerline-"), "ledgerline_package.zip")
+        atexit.register(shutil.rmtree, target.parent, ignore_errors=True)
         with zipfile.ZipFile(target, "w") as z:
             for path in sorted(root.rglob("*.py")):
                 z.write(path, path.relative_to(root.parent))
