@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import compact_windows, context_mixing, hash_tree, language_crf, licenses, line_rules, mixing, no_random_access, packing, quality_trees, setsketch, tsqr
+from ledgerline.llm import compact_windows, context_mixing, hash_tree, language_crf, licenses, line_rules, mixing, no_random_access, packing, q_chunks, quality_trees, setsketch, tsqr
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,12 +68,17 @@ def op11_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard(_docs(spark, sf_dir))
 
 
+def op12_name_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clients, vendors = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("clients", "vendors"))
+    return q_chunks.name_join(clients, q_chunks.misspelt(vendors))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tsqr.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=4)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_minhash_near_dedup, op2_source_mixing, op3_quality_classifier, op4_substring_dedup, op5_license_scan, op6_language_id, op7_quality_rules, op8_lm_scoring, op9_exact_top_k, op10_packing, op11_hash_tree_sharding, op13_embedding_whitening)
+    own = (op1_minhash_near_dedup, op2_source_mixing, op3_quality_classifier, op4_substring_dedup, op5_license_scan, op6_language_id, op7_quality_rules, op8_lm_scoring, op9_exact_top_k, op10_packing, op11_hash_tree_sharding, op12_name_join, op13_embedding_whitening)
     return {f.__name__: f for f in own}
 
 
@@ -92,4 +97,4 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = comp
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash_near_dedup": OP1_SQL, "op2_source_mixing": mixing.SQL, "op7_quality_rules": line_rules.SQL, "op9_exact_top_k": no_random_access.SQL, "op11_hash_tree_sharding": hash_tree.SQL}
+    return {"op1_minhash_near_dedup": OP1_SQL, "op2_source_mixing": mixing.SQL, "op7_quality_rules": line_rules.SQL, "op9_exact_top_k": no_random_access.SQL, "op11_hash_tree_sharding": hash_tree.SQL, "op12_name_join": q_chunks.SQL}
