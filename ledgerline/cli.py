@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.functions import calendar
-from ledgerline.operators import reports
+from ledgerline.operators import news, reports
 from ledgerline.plans import settings as defaults
 from ledgerline.plans.jobs import Lake
 from ledgerline.sources import files, synthetic, transports
@@ -110,7 +110,8 @@ def run(spark: SparkSession, argv: list[str], out=print) -> None:
         if a.step == "ingest":
             out(str(lake.ingest_news(lambda d: transports.paged_day(d, transports.over_http, a.key, s.pages_a_day), a.end or date.today(), s.first_day)))
         else:
-            out(str(lake.curate("news") if a.step == "curate" else lake.build_sentiment(days())))
+            markets = sorted({s.calendar, news.DEFAULT_MARKET[1], *(m[2] for m in news.MARKETS)})
+            out(str(lake.curate("news") if a.step == "curate" else lake.build_sentiment(calendar.calendar_map(calendar.sessions(spark, markets)))))
     elif a.command == "fundamentals":
         out(str(lake.take_fundamentals(spark.read.csv(a.file, header=True), a.as_of, a.note)))
     elif a.command == "reconcile":

@@ -13,12 +13,12 @@ DEFAULT_MARKET = ("America/New_York", "XNYS", "15:30:00")
 
 
 def market(ticker: str = "ticker", default: tuple[str, str, str] = DEFAULT_MARKET) -> tuple[Column, Column, Column]:
-    """(time zone, calendar, cutoff) of a ticker by its suffix."""
+    """(time zone, calendar, cutoff) of a ticker by its suffix, in upper or lower case."""
     out = []
     for i in range(3):
         c = F.lit(default[i])
         for suffix, *rest in reversed(MARKETS):
-            c = F.when(F.col(ticker).endswith(suffix), F.lit(rest[i])).otherwise(c)
+            c = F.when(F.upper(ticker).endswith(suffix), F.lit(rest[i])).otherwise(c)
         out.append(c)
     return tuple(out)
 

@@ -332,10 +332,15 @@ def feed_fields(spark, sf_dir):
     return ev.groupBy("event_type", (F.from_json("props", "k bigint")["k"] % 10).alias("k")).agg(F.count("*").alias("n"))
 
 
-_TRADING = """i AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'A' ELSE 'B.HK' END AS ticker, ts FROM events), s AS (SELECT unnest(generate_series(DATE '2023-12-25', DATE '2024-03-15', INTERVAL 1 DAY))::DATE AS d),
-ses AS (SELECT d FROM s WHERE dayofweek(d) BETWEEN 1 AND 5 AND d NOT IN (DATE '2023-12-25', DATE '2024-01-01', DATE '2024-01-15', DATE '2024-02-19')),
-l AS (SELECT event_id, ticker, CASE WHEN ticker = 'A' THEN (ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' ELSE (ts AT TIME ZONE 'UTC') AT TIME ZONE 'Asia/Hong_Kong' END AS t FROM i)
-SELECT event_id, ticker, CASE WHEN t::DATE IN (SELECT d FROM ses) AND date_trunc('second', t)::TIME <= TIME '15:30:00' THEN t::DATE ELSE (SELECT min(d) FROM ses WHERE d > t::DATE) END AS date FROM l"""
+#: Closures on weekdays from 2023-12-25 on as the exchanges published them, written out here apart from the rules that the operator follows.
+_CLOSURES = {"XNYS": ["2023-12-25", "2024-01-01", "2024-01-15", "2024-02-19"], "XHKG": ["2023-12-25", "2023-12-26", "2024-01-01", "2024-02-12", "2024-02-13"], "XKRX": ["2023-12-25", "2023-12-29", "2024-01-01", "2024-02-09", "2024-02-12", "2024-03-01"]}
+_TRADING = f"""m AS (SELECT * FROM (VALUES ('A', 'XNYS', 'America/New_York', TIME '15:30:00'), ('b.hk', 'XHKG', 'Asia/Hong_Kong', TIME '15:30:00'), ('C.KQ', 'XKRX', 'Asia/Seoul', TIME '15:00:00')) t(ticker, cal, zone, cut)),
+closed AS (SELECT * FROM (VALUES {", ".join(f"('{c}', DATE '{d}')" for c, days in _CLOSURES.items() for d in days)}) t(cal, d)),
+s AS (SELECT unnest(generate_series(DATE '2023-12-25', DATE '2024-03-15', INTERVAL 1 DAY))::DATE AS d),
+ses AS (SELECT cal, s.d, x.d IS NULL AND dayofweek(s.d) BETWEEN 1 AND 5 AS open FROM (SELECT cal FROM m) CROSS JOIN s LEFT JOIN closed x USING (cal, d)),
+nxt AS (SELECT cal, d, open, min(CASE WHEN open THEN d END) OVER (PARTITION BY cal ORDER BY d ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later FROM ses),
+l AS (SELECT event_id, m.ticker, m.cal, m.cut, (ts AT TIME ZONE 'UTC') AT TIME ZONE m.zone AS t FROM events JOIN m ON m.ticker = ['A', 'b.hk', 'C.KQ'][event_id % 3 + 1])
+SELECT event_id, ticker, CASE WHEN open AND date_trunc('second', t)::TIME <= cut THEN d ELSE later END AS date FROM l LEFT JOIN nxt ON nxt.cal = l.cal AND nxt.d = l.t::DATE"""
 
 
 @_query("WITH " + _TRADING)
@@ -344,10 +349,11 @@ def trading_day(spark, sf_dir):
 
     from ledgerline.functions import calendar
 
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.when(F.col("event_id") % 2 == 0, "A").otherwise("B.HK").alias("ticker"), F.col("ts").cast("timestamp").alias("effective_ts"))
-    two = calendar.sessions(spark, "XNYS", date(2023, 12, 25), date(2024, 3, 15))
-    both = calendar.calendar_map(two.unionByName(two.withColumn("calendar", F.lit("XHKG"))))
-    return news.trading_day(ev, both).select("event_id", "ticker", "date")
+    ticker = F.when(F.col("event_id") % 3 == 0, "A").when(F.col("event_id") % 3 == 1, "b.hk").otherwise("C.KQ")
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", ticker.alias("ticker"), F.col("ts").cast("timestamp").alias("effective_ts"))
+    markets = calendar.sessions(spark, ["XNYS", "XHKG", "XKRX"], date(2023, 12, 25), date(2024, 3, 15))
+    # the map begins and ends with a session; these days lie inside for all three
+    return news.trading_day(ev, calendar.calendar_map(markets)).select("event_id", "ticker", "date")
 
 
 _LISTED = "SELECT upper(substr(replace(p_name, ' ', ''), 1, 3 + CAST(p_partkey % 4 AS INT))) AS ticker, trim(p_name) AS security_name, CASE WHEN p_partkey % 3 = 0 THEN 'N' WHEN p_partkey % 3 = 1 THEN 'A' ELSE 'V' END AS exchange, p_brand AS cqs_symbol, 'N' AS etf, CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS round_lot_size, 'N' AS test_issue, CAST(p_partkey AS VARCHAR) AS nasdaq_symbol FROM part"

@@ -126,11 +126,21 @@ class Lake:
         return self._put("news_ticker_sentiment", ingest.with_scores(open_, self.table("news_articles"), score, revision))
 
     def build_sentiment(self, calendar_map: DataFrame, since=None) -> dict[str, int]:
-        """Daily factors from the session that each article counts for; since: only days from then on are made anew."""
-        rows = news.trading_day(news.effective(self.table("news_ticker_sentiment")), calendar_map)
-        days = news.sentiment_daily(rows.where("date is not null"), scores=("score_av", "score_finbert"))
-        days = days if since is None else days.where(F.col("date") >= F.lit(since).cast("date"))
-        return self._put("sentiment_daily", days.withColumn("year", F.year("date")))
+        """Daily factors from the session that each article counts for; since: only days from then on are made anew.
+
+        Articles whose market has no calendar here, or none that reaches their day, go to quarantine under `sentiment_daily`; their number is given as rows_undated.
+        """
+        rows = news.trading_day(news.effective(self.table("news_ticker_sentiment")), calendar_map).persist()
+        try:
+            name = news.market()[1]
+            undated = rows.where("date is null").select("article_id", "ticker", "effective_ts", F.lit("no_session").alias("check"), name.alias("calendar"))
+            if n := undated.count():
+                store.append_log(undated, f"{self.root}/quarantine/sentiment_daily")
+            days = news.sentiment_daily(rows.where("date is not null"), scores=("score_av", "score_finbert"))
+            days = days if since is None else days.where(F.col("date") >= F.lit(since).cast("date"))
+            return self._put("sentiment_daily", days.withColumn("year", F.year("date"))) | {"rows_undated": n}
+        finally:
+            rows.unpersist()
 
     def refresh_roster(self, target: DataFrame, as_of, source: str) -> DataFrame:
         """Opens and closes memberships so that those open at as_of are target (index_name, ticker); only rosters in target are touched. Gives the changes."""
