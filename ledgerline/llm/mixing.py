@@ -7,7 +7,7 @@ exploded and then ordered globally by another hash.
 
 Defined results: a null source is a source of its own; a null text has size 0 and is repeated at its source's rate;
 a null doc_id is drawn as the text 'null'; repeated rows get the same number of copies; a source that target weights
-don't name has rate 0; an empty table or a size of 0 gives no rows. Columns besides doc_id, text and source pass through;
+don't name has rate 0; a source so small that its rate is above MOST is refused with a message; an empty table or a size of 0 gives no rows. Columns besides doc_id, text and source pass through;
 the operator's own columns are replica, rate and shuffle_key, and a column of docs with such a name is dropped.
 """
 
@@ -20,6 +20,8 @@ from ledgerline.llm._spark import Stash, sized
 
 SEED = 20240229
 OWN = ("replica", "rate", "shuffle_key")
+#: The largest mean number of copies that is carried out, and copies that are listed at a time.
+MOST, COPIES = 1e9, 4096
 
 
 def _draw(label: str, *columns):
@@ -44,25 +46,43 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, size:
 
 
 def _steps(rates: DataFrame) -> DataFrame:
-    """(source, rate, cdf): the distribution function at 0, 1, ... up to where nothing is left above."""
-    k = F.explode(F.sequence(F.lit(0), F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 20).cast("int"))).alias("k")
-    run = Window.partitionBy("source").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    logs = rates.select("source", "rate", k).withColumn("lf", F.sum(F.when(F.col("k") > 0, F.ln(F.greatest("k", F.lit(1)))).otherwise(0.0)).over(run))
-    mass = F.when(F.col("rate") > 0, F.exp(F.col("k") * F.ln("rate") - F.col("rate") - F.col("lf"))).otherwise(F.when(F.col("k") == 0, 1.0).otherwise(0.0))
-    cdf = logs.withColumn("mass", mass).withColumn("cdf", F.sum("mass").over(run))
-    return cdf.groupBy("source", "rate").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "cdf"))), lambda x: x["cdf"]).alias("cdf"))
+    """(source, rate, lo, cdf): the distribution function at lo, lo + 1, ... Beyond 12 deviations and 20 on either side of the rate nothing is left, so a list is as long as the root of its rate."""
+    wide = 12 * F.sqrt("rate") + 20
+    lo, hi = F.greatest(F.lit(0), F.floor(F.col("rate") - wide)).cast("long"), F.ceil(F.col("rate") + wide).cast("long")
+    rows = rates.select("source", "rate", lo.alias("lo"), hi.alias("hi")).select("source", "rate", "lo", F.explode(F.sequence("lo", "hi")).alias("k"))
+    every = Window.partitionBy("source")
+    run = every.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    # each mass by its ratio to the one before, in logarithms from the largest on, so that no large numbers cancel
+    step = F.when((F.col("k") > F.col("lo")) & (F.col("rate") > 0), F.log1p((F.col("rate") - F.col("k")) / F.col("k"))).otherwise(0.0)
+    logs = rows.withColumn("log", F.sum(step).over(run)).withColumn("most", F.max("log").over(every))
+    mass = F.when(F.col("rate") > 0, F.exp(F.col("log") - F.col("most"))).otherwise(F.when(F.col("k") == 0, 1.0).otherwise(0.0))
+    sums = logs.withColumn("mass", mass).withColumn("sum", F.sum("mass").over(run))
+    cdf = sums.withColumn("cdf", F.col("sum") / F.max("sum").over(every))
+    return cdf.groupBy("source", "rate", "lo").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "cdf"))), lambda x: x["cdf"]).alias("cdf"))
+
+
+def with_copies(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame:
+    """docs' columns, rate and copies (long): how many times each document stands in the mix. rates: (source, rate)."""
+    rates = Stash(rates.select("source", "rate"))
+    if beyond := rates.read().where(F.col("rate") > MOST).first():
+        raise ValueError(f"source {beyond['source']!r} would be repeated {beyond['rate']:.3g} times, more than {MOST:.0e}: give weights or a size that ask for less")
+    small = sized(Stash(_steps(rates.read())).read().withColumnRenamed("source", "step_source"))
+    drawn = docs.alias("d").join(small, F.col("d.source").eqNullSafe(F.col("step_source")))
+    # an array of one element binds the draw, which is hashed once and compared with every step
+    copies = F.transform(F.array(_draw(f"copies:{seed}", "d.doc_id") / F.lit(2.0**52)), lambda u: F.col("lo") + F.size(F.filter("cdf", lambda x: x <= u)))[0]
+    return drawn.select(*(F.col(f"d.`{c}`") for c in docs.columns), "rate", copies.alias("copies"))
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, size: float | None = None, seed: int = SEED) -> DataFrame:
     """docs' columns, replica (from 1), rate and shuffle_key, ordered by shuffle_key: each document as many times as its draw says."""
     docs = docs.drop(*OWN)
-    steps = Stash(_steps(source_rates(docs, weights, size)))
-    small = sized(steps.read().withColumnRenamed("source", "step_source"))
-    own = [F.col(f"d.`{c}`") for c in docs.columns]
-    drawn = docs.alias("d").join(small, F.col("d.source").eqNullSafe(F.col("step_source")))
-    drawn = drawn.withColumn("draw", _draw(f"copies:{seed}", "d.doc_id") / F.lit(2.0**52))
-    drawn = drawn.withColumn("copies", F.size(F.filter("cdf", lambda x: x <= F.col("draw")))).where("copies > 0")
-    out = drawn.select(*own, "rate", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("replica"))
+    names = dict.fromkeys(docs.columns)
+    copies, first = (next(n for n in (c, *(f"{c}_{i}" for i in range(len(names)))) if n not in names) for c in ("copies", "first"))
+    counted = with_copies(docs, source_rates(docs, weights, size), seed).toDF(*docs.columns, "rate", copies).where(F.col(copies) > 0)
+    # copies are listed by blocks, so that no array is as long as their number
+    blocks = counted.withColumn(first, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies), F.lit(COPIES).cast("long"))))
+    numbers = F.sequence(F.col(first), F.least(F.col(copies), F.col(first) + (COPIES - 1)))
+    out = blocks.select(*(F.col(f"`{c}`") for c in docs.columns), "rate", F.explode(numbers).alias("replica")).withColumn("replica", F.col("replica").cast("int"))
     out = out.withColumn("shuffle_key", _draw(f"order:{seed}", "doc_id", "replica"))
     # keys are spread evenly over 52 bits, so the bounds of ranges are known without a look at the rows
     parts = int(spark_conf(docs, "spark.sql.shuffle.partitions"))
