@@ -22,15 +22,59 @@ def log_returns(bars: DataFrame) -> DataFrame:
     return bars.withColumn("r", F.ln("close") - F.ln(F.lag("close").over(_by_date())))
 
 
+def _sliding(window: int, rows_at_once: int = 8192):
+    """Adds r, med and mad to Arrow batches in which each ticker's bars follow each other by date. Of what came before, `window` returns and one close are kept."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        past, close, ticker = np.full(window, np.nan), np.nan, None
+        low, high = (window - 1) // 2, window // 2
+
+        def median(x):
+            x.partition((low, high), axis=1)
+            return (x[:, low] + x[:, high]) / 2
+
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            col = lambda name, b=batch: b.column(b.schema.get_field_index(name))
+            names = pa.concat_arrays([pa.array([ticker], col("ticker").type), col("ticker")])
+            same = pc.fill_null(pc.equal(names[1:], names[:-1]), False).to_numpy(zero_copy_only=False) | (pc.is_null(names[1:]).to_numpy(zero_copy_only=False) & pc.is_null(names[:-1]).to_numpy(zero_copy_only=False))
+            price = np.asarray(col("close").cast(pa.float64()).to_numpy(zero_copy_only=False), float)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                logs = np.where(price > 0, np.log(price), np.nan)
+            r = np.where(same, np.diff(np.concatenate(([close], logs))), np.nan)
+            # a ticker's first bar has no return, so that no full window of a later bar reaches over the start of its series
+            series = np.concatenate((past, r))
+            holes = np.concatenate(([0], np.cumsum(np.isnan(series))))
+            full = np.flatnonzero((holes[window : window + n] == holes[:n]) & same)
+            views = np.lib.stride_tricks.sliding_window_view(series, window)
+            med, mad = np.full(n, np.nan), np.full(n, np.nan)
+            for at in range(0, len(full), rows_at_once):
+                rows = full[at : at + rows_at_once]
+                x = views[rows]
+                med[rows] = median(x)
+                np.subtract(x, med[rows, None], out=x)
+                mad[rows] = median(np.abs(x, out=x))
+            mad[mad == 0] = np.nan
+            past, close, ticker = series[-window:], logs[-1], names[-1].as_py()
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(a, from_pandas=True) for a in (r, med, mad))], names=[*batch.schema.names, "r", "med", "mad"])
+
+    return run
+
+
 def robust_scores(bars: DataFrame, window: int = 63) -> DataFrame:
-    """Bars with r, med, mad and z over the `window` returns before each bar; null unless the window is full or if mad is 0."""
-    trail = _by_date().rowsBetween(-window, -1)
-    listed = log_returns(bars).withColumn("past", F.collect_list("r").over(trail))
-    half = lambda a: (F.try_element_at(a, F.lit((window + 1) // 2)) + F.try_element_at(a, F.lit(window // 2 + 1))) / 2
-    # arrays of one element bind the sorted window and its median, which are used many times
-    pair = F.transform(F.array(F.array_sort("past")), lambda q: F.transform(F.array(half(q)), lambda m: F.struct(m.alias("med"), half(F.array_sort(F.transform(q, lambda x: F.abs(x - m)))).alias("mad")))[0])[0]
-    out = listed.withColumn("p", F.when(F.size("past") == window, pair)).withColumn("med", F.col("p.med")).withColumn("mad", F.nullif("p.mad", F.lit(0.0))).drop("past", "p")
-    return out.withColumn("z", MAD_SCALE * (F.col("r") - F.col("med")) / F.col("mad"))
+    """Bars with r, med, mad and z over the `window` returns before each bar; null unless the window is full or if mad is 0.
+
+    One exchange by ticker; then each task slides over its tickers' bars in order and holds no more of the past than the window.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in bars.schema.fields)
+    rows = bars.repartition("ticker").sortWithinPartitions("ticker", "date").mapInArrow(_sliding(window), f"{schema}, r double, med double, mad double")
+    return rows.withColumn("z", MAD_SCALE * (F.col("r") - F.col("med")) / F.col("mad"))
 
 
 def _runs(bars: DataFrame, same: Column, name: str) -> DataFrame:
@@ -39,12 +83,18 @@ def _runs(bars: DataFrame, same: Column, name: str) -> DataFrame:
     return island.withColumn(name, F.count("*").over(Window.partitionBy("ticker", "__i"))).drop("__i")
 
 
-def measured(bars: DataFrame, window: int = 63) -> DataFrame:
-    """Bars with all that the detectors look at, from one exchange by ticker: r, med, mad, z, change, stale_run and zero_run. What a detector doesn't use is pruned."""
-    rows = robust_scores(bars, window).withColumns({"__prev": F.lag("close").over(_by_date()), "__zero": F.col("volume") == 0})
+def measured(bars: DataFrame, window: int | None = 63) -> DataFrame:
+    """Bars with all that the detectors look at, from one exchange by ticker: change, stale_run and zero_run, and r, med, mad and z unless window is None."""
+    rows = bars.repartition("ticker").withColumns({"__prev": F.lag("close").over(_by_date()), "__zero": F.col("volume") == 0})
     rows = rows.withColumns({"change": F.try_divide("close", "__prev") - 1, "__before": F.lag("__zero").over(_by_date())})
     rows = _runs(rows, F.col("close") == F.col("__prev"), "stale_run")
-    return _runs(rows, F.col("__zero") & F.col("__before"), "zero_run").drop("__prev", "__before", "__zero")
+    rows = _runs(rows, F.col("__zero") & F.col("__before"), "zero_run").drop("__prev", "__before", "__zero")
+    if window is None:
+        return rows
+    # windows by ticker keep the rows where the exchange put them, so that a sort is enough
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    slid = rows.sortWithinPartitions("ticker", "date").mapInArrow(_sliding(window), f"{schema}, r double, med double, mad double")
+    return slid.withColumn("z", MAD_SCALE * (F.col("r") - F.col("med")) / F.col("mad"))
 
 
 def _outlier(window: int, threshold: float):
@@ -76,26 +126,45 @@ def _explained(flags: DataFrame, actions: DataFrame) -> DataFrame:
 
 
 def mad_outliers(bars: DataFrame, window: int = 63, threshold: float = 8.0) -> DataFrame:
-    return _raised(measured(bars, window), _outlier(window, threshold))
+    return _raised(robust_scores(bars, window), _outlier(window, threshold))
 
 
 def stale_prices(bars: DataFrame, least: int = 5) -> DataFrame:
-    return _raised(measured(bars), _stale(least))
+    return _raised(measured(bars, None), _stale(least))
 
 
 def zero_volume_runs(bars: DataFrame, least: int = 3) -> DataFrame:
-    return _raised(measured(bars), _still(least))
+    return _raised(measured(bars, None), _still(least))
 
 
 def unexplained_gaps(bars: DataFrame, actions: DataFrame, limit: float = 0.30) -> DataFrame:
-    return _explained(_raised(measured(bars), _gap(limit)), actions)
+    return _explained(_raised(measured(bars, None), _gap(limit)), actions)
+
+
+def numbered(sessions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of sessions (calendar, session): (calendar, session, seq) counted from 1, and (calendar, day, seq, open) for each day from a calendar's first to its last session: how many sessions there are up to that day, and whether it is one."""
+    own = sessions.select("calendar", "session").distinct().withColumn("seq", F.row_number().over(Window.partitionBy("calendar").orderBy("session")))
+    later = F.lead("session", 1).over(Window.partitionBy("calendar").orderBy("session"))
+    spans = own.withColumn("end", F.coalesce(F.date_sub(later, 1), "session"))
+    return own, spans.select("calendar", F.explode(F.sequence("session", "end")).alias("day"), "seq", "session").select("calendar", "day", "seq", (F.col("day") == F.col("session")).alias("open"))
 
 
 def missing_sessions(bars: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Sessions (calendar, session) between a ticker's first and last bar on which it has none. Days meet sessions by equality."""
-    days = bars.groupBy("ticker").agg(F.min("date").alias("lo"), F.max("date").alias("hi")).where("lo is not null").select("ticker", F.explode(F.sequence("lo", "hi")).alias("date"))
-    expected = days.join(sessions.select(F.col("session").alias("date"), "calendar"), "date")
-    return _flag(expected.join(bars.select("ticker", "date"), ["ticker", "date"], "left_anti"), "missing_session", F.lit("warn"), calendar=F.col("calendar"))
+    """Sessions (calendar, session) between a ticker's first and last bar on which it has none, for each calendar.
+
+    Each bar gets the number of sessions up to its day from a table of days, which is as long as the calendars' years. Where that
+    number grows by more than one from a ticker's bar to its next, the sessions in between are missing: rows are made for these alone.
+    """
+    own, days = numbered(sessions)
+    spans = own.groupBy("calendar").agg(F.min("session").alias("__lo"), F.max("seq").alias("__n"))
+    days = days.select(F.col("calendar").alias("__c"), "day", "seq", "open")
+    placed = bars.select("ticker", "date").where("date is not null").join(F.broadcast(spans)).join(F.broadcast(days), (F.col("calendar") == F.col("__c")) & (F.col("date") == F.col("day")), "left")
+    upto = F.coalesce("seq", F.when(F.col("date") < F.col("__lo"), 0).otherwise(F.col("__n")))
+    run = Window.partitionBy("ticker", "calendar").orderBy("date")
+    gaps = placed.select("ticker", "calendar", "date", upto.alias("upto"), F.coalesce("open", F.lit(False)).cast("int").alias("open")).withColumn("since", F.lag("upto").over(run))
+    gaps = gaps.where("upto - open > since").select("ticker", "calendar", F.explode(F.sequence(F.col("since") + 1, F.col("upto") - F.col("open"))).alias("seq"))
+    found = gaps.join(F.broadcast(own.select("calendar", "seq", F.col("session").alias("date"))), ["calendar", "seq"])
+    return _flag(found, "missing_session", F.lit("warn"), calendar=F.col("calendar"))
 
 
 def battery(bars: DataFrame, actions: DataFrame, sessions: DataFrame, window: int = 63, threshold: float = 8.0, stale: int = 5, zero: int = 3, gap: float = 0.30) -> DataFrame:
