@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.functions import calendar
-from ledgerline.operators import news, reports
+from ledgerline.operators import dedupe, news, reports
+from ledgerline.operators import ingest as ingest_rows
 from ledgerline.plans import settings as defaults
 from ledgerline.plans.jobs import Lake
 from ledgerline.sources import files, synthetic, transports
@@ -33,10 +36,11 @@ def _parser() -> argparse.ArgumentParser:
     command("refresh", text("--file"), day("--as-of", required=True), text("--index"))
     command("refresh-other", text("--file"), day("--as-of", required=True))
     command("ingest", text("dataset"), text("--tickers"), text("--index"), text("--provider"), day("--start"), day("--end", required=True))
-    command("curate", text("dataset"))
+    command("curate", text("dataset"), text("--provider"))
     command("validate")
     command("update", text("--tickers"), text("--index"), text("--provider"), day("--end", required=True))
-    command("news", text("step", choices=["ingest", "curate", "build"]), text("--key", default=""), day("--end"))
+    command("news", text("step", choices=["ingest", "curate", "score", "build", "update"]), text("--key", default=""), text("--scorer"), text("--revision", default="1"), day("--end"))
+    command("security-master", text("file"), day("--as-of", required=True))
     command("fundamentals", text("file"), day("--as-of", required=True), text("--note", default=""))
     command("reconcile", text("a"), text("b"), text("--dataset", default="ohlcv_daily"), text("--tickers"))
     command("query", text("sql"), text("--out"))
@@ -70,6 +74,25 @@ def _fetch(spark: SparkSession, provider: str, dataset: str):
     return lambda plan: transports.history(spark, plan, dataset)
 
 
+def _news(spark: SparkSession, lake: Lake, a: argparse.Namespace, s: defaults.Settings, out) -> None:
+    """One step of the news, or for `update` all of them in order; scoring is left out of an update that names no scorer."""
+    steps = ["ingest", "curate", *(["score"] if a.scorer else []), "build"] if a.step == "update" else [a.step]
+    for step in steps:
+        if step == "ingest":
+            transports.register(spark)
+            out(str(lake.stream_news(a.end or date.today(), s.first_day, a.key, s.pages_a_day)))
+        elif step == "curate":
+            out(str(lake.curate("news")))
+        elif step == "score":
+            if not a.scorer or ":" not in a.scorer:
+                raise SystemExit("give --scorer module:function; the function returns a model that takes a list of texts")
+            module, name = a.scorer.split(":", 1)
+            out(str(lake.score_news(ingest_rows.scorer(getattr(importlib.import_module(module), name)), a.revision)))
+        else:
+            markets = sorted({s.calendar, news.DEFAULT_MARKET[1], *(m[2] for m in news.MARKETS)})
+            out(str(lake.build_sentiment(calendar.calendar_map(calendar.sessions(spark, markets)))))
+
+
 def run(spark: SparkSession, argv: list[str], out=print) -> None:
     a = _parser().parse_args(argv)
     s = defaults.from_environment()
@@ -98,20 +121,21 @@ def run(spark: SparkSession, argv: list[str], out=print) -> None:
     elif a.command == "ingest":
         ingest(defaults.dataset(a.dataset), a.start)
     elif a.command == "curate":
-        out(str(lake.curate(defaults.dataset(a.dataset))))
+        out(str(lake.curate(defaults.dataset(a.dataset), a.provider)))
     elif a.command == "validate":
         lake.validate(run_id="full")
         out(lake.validation_report("full"))
     elif a.command == "update":
         for dataset in ("corporate_actions", "ohlcv_daily"):
             ingest(dataset, None)
-            out(str(lake.curate(dataset)))
+            out(str(lake.curate(dataset, a.provider or s.provider)))
     elif a.command == "news":
-        if a.step == "ingest":
-            out(str(lake.ingest_news(lambda d: transports.paged_day(d, transports.over_http, a.key, s.pages_a_day), a.end or date.today(), s.first_day)))
-        else:
-            markets = sorted({s.calendar, news.DEFAULT_MARKET[1], *(m[2] for m in news.MARKETS)})
-            out(str(lake.curate("news") if a.step == "curate" else lake.build_sentiment(calendar.calendar_map(calendar.sessions(spark, markets)))))
+        _news(spark, lake, a, s, out)
+    elif a.command == "security-master":
+        rows = spark.read.parquet(a.file) if a.file.endswith(".parquet") else spark.read.csv(a.file, header=True)
+        fields = ["exchange", "gic_sector", "gic_group", "gic_industry", "gic_sub_industry"]
+        known = rows.select(F.upper(F.trim("ticker")).alias("ticker"), *((F.coalesce(F.trim(c), F.lit("")) if c in rows.columns else F.lit("")).alias(c) for c in fields))
+        out(str(lake.refresh_master(dedupe.latest_wins(known, ["ticker"], fields[0], fields[1:]), a.as_of)))
     elif a.command == "fundamentals":
         out(str(lake.take_fundamentals(spark.read.csv(a.file, header=True), a.as_of, a.note)))
     elif a.command == "reconcile":

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 BACKWARD, FORWARD, NEAREST = "backward", "forward", "nearest"
 #: Rows of both sides that a slice of one key holds about, keys that are split at most, and slices of a key at most.
-SLICE_ROWS, KEYS, MARKS = 1_000_000, 10_000, 512
+SLICE_ROWS, KEYS, MARKS = 100_000, 10_000, 512
 
 
 def _whole(c: Column, kind: str) -> Column:

@@ -1,4 +1,4 @@
-"""Queries of as-of joins and of statistics over a date's names, with the same in DuckDB's SQL."""
+"""Queries of as-of joins, of statistics over a date's names and of streams that take files once, with the same in DuckDB's SQL."""
 
 from __future__ import annotations
 
@@ -50,3 +50,39 @@ def cross_section(factor):
 
     out = cs.scores(factor.select("ticker", "date", "score"), "score", tails=0.05)
     return out.withColumns({"rank_share": F.round("rank_share", 9), "z": F.round("z", 6) + F.lit(0.0), "z_winsor": F.round("z_winsor", 6) + F.lit(0.0)})
+
+
+@_query("SELECT article_id, ticker, CASE WHEN length(article_id) % 2 = 0 THEN score_av ELSE relevance END AS v FROM news", ("news",))
+def first_capture_stream(news_):
+    """Three drops of files through keyed state: what the first one that holds a key says stays, of its rows the earliest."""
+    from ledgerline.plans.catalog_jobs import EARLY, LATE, _scratch
+    from ledgerline.sources import store
+    from ledgerline.streaming import first_capture
+
+    spark, root = news_.sparkSession, _scratch(news_.sparkSession)
+    shaped = lambda rows, v, at: rows.select("article_id", "ticker", v.cast("double").alias("v"), F.lit(at).alias("ingested_at"))
+    drops = [
+        shaped(news_.where("length(article_id) % 2 = 0"), F.col("score_av"), LATE),
+        shaped(news_, F.lit(7.0), LATE).unionByName(shaped(news_, F.col("relevance"), EARLY)),
+        shaped(news_, F.lit(9.0), EARLY),
+    ]
+    for n, drop in enumerate(drops):
+        drop.write.parquet(f"{root}/raw/{n}")
+        first_capture.promote_first(spark, f"{root}/raw", "article_id string, ticker string, v double, ingested_at timestamp", f"{root}/t", f"{root}/c", ["article_id"], "ingested_at")
+    return store.read_table(spark, f"{root}/t").select("article_id", "ticker", "v")
+
+
+@_query("SELECT 0::BIGINT AS batch, count(*) AS rows_read, 1 AS runs FROM bars UNION ALL SELECT 1, count(*), 1 FROM bars WHERE volume % 4 = 0", ("bars",))
+def promotion_ledger(bars):
+    """Two drops of raw bars, curated after each: the second run reads the second drop alone, a third run reads nothing."""
+    import uuid
+
+    from ledgerline.plans.catalog_jobs import EARLY, LATE, _lake, _priced
+    from ledgerline.sources import store
+
+    lake = _lake(bars.sparkSession)
+    for when, rows in ((EARLY, bars), (LATE, bars.where("volume % 4 = 0"))):
+        store.write_raw(_priced(rows).withColumn("ingested_at", F.lit(when)), lake.root, "p", "ohlcv_daily", uuid.uuid4().hex)
+        lake.curate("ohlcv_daily", "p", files=10_000)
+    lake.curate("ohlcv_daily", "p", files=10_000)
+    return lake.promotions().select("batch", "rows_read", F.size("run_ids").alias("runs"))

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import adjust, dedupe, detect, ingest, news, reports, research, tables
 from ledgerline.plans import gate
 from ledgerline.sources import files, store
+from ledgerline.streaming import first_capture
 
 PRICES = ["open", "high", "low", "close"]
 #: table -> (schema, key, partition).
@@ -23,13 +26,14 @@ TABLES = {
     "security_master": ("ticker string, exchange string, gic_sector string, gic_group string, gic_industry string, gic_sub_industry string, effective_from date, effective_to date", ["ticker", "effective_from"], None),
     "fundamentals_snapshot": ("ticker string, as_of date, note string", ["as_of", "ticker"], None),
     "listing": ("directory string, ticker string, as_of date, security_name string, exchange string, market_category string, etf string, test_issue string, financial_status string, round_lot_size double", ["directory", "ticker", "as_of"], None),
-    "news_articles": ("article_id string, published_at timestamp, ingested_at timestamp, source string, provider string, title string, summary string, url string, overall_sentiment_score double, year int", ["article_id"], None),
-    "news_ticker_sentiment": ("article_id string, ticker string, published_at timestamp, ingested_at timestamp, relevance double, score_av double, score_finbert double, finbert_revision string", ["article_id", "ticker"], None),
+    "news_articles": ("article_id string, published_at timestamp, ingested_at timestamp, source string, provider string, title string, summary string, url string, overall_sentiment_score double, year int", ["article_id"], "year"),
+    "news_ticker_sentiment": ("article_id string, ticker string, published_at timestamp, ingested_at timestamp, relevance double, score_av double, score_finbert double, finbert_revision string, year int", ["article_id", "ticker"], "year"),
     "sentiment_daily": ("ticker string, date date, sent_av double, sent_finbert double, n_articles long, log_n_articles double, rel_sum double, year int", ["ticker", "date"], "year"),
 }
 _LOGS = {
     "manifest": "run_id string, provider string, dataset string, ticker string, start date, end date, rows_fetched long, status string, error string, started_at timestamp",
     "watermarks": "provider string, dataset string, ticker string, high_water_date date, run_id string, updated_at timestamp",
+    "promotions": "provider string, dataset string, batch long, run_ids array<string>, files long, rows_read long, taken_at timestamp",
 }
 
 
@@ -61,6 +65,8 @@ class Lake:
         schema, key, partition = TABLES[name]
         wanted = [part.split(" ")[0] for part in schema.split(", ")]
         kinds = dict(part.split(" ") for part in schema.split(", "))
+        if partition == "year" and "year" not in df.columns and "published_at" in df.columns:
+            df = df.withColumn("year", F.year("published_at"))
         every = wanted + [c for c in df.columns if c not in wanted and name == "fundamentals_snapshot"]
         shaped = df.select(*((F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(kinds[c])).alias(c) for c in every))
         try:
@@ -119,7 +125,7 @@ class Lake:
         pairs = dedupe.first_wins(raw.where("ticker is not null"), ["article_id", "ticker"], "ingested_at", ["relevance"])
         pairs = pairs.join(self.table("news_ticker_sentiment").select("article_id", "ticker"), ["article_id", "ticker"], "left_anti")
         pairs = self._valid(pairs, tables.TICKER_SENTIMENT, ["article_id", "ticker"], ["article_id", "ticker"], "news_ticker_sentiment", run_id)
-        return {"articles": self._put("news_articles", articles.withColumn("year", F.year("published_at"))), "tickers": self._put("news_ticker_sentiment", pairs)}
+        return {"articles": self._put("news_articles", articles), "tickers": self._put("news_ticker_sentiment", pairs)}
 
     def score_news(self, score, revision: str) -> dict[str, int]:
         open_ = ingest.pending(self.table("news_ticker_sentiment"), "score_finbert", ["article_id", "ticker"])
@@ -243,14 +249,87 @@ class Lake:
         flags = self.table("validation_flags").where(F.col("run_id") == run_id)
         return self._write_text(f"validation-{run_id}", reports.flags_text(detect.flag_summary(flags), detect.most_flagged(flags), run_id))
 
-    def curate(self, dataset: str) -> dict:
-        """All raw payloads of a dataset, whichever provider they are of, into its tables."""
-        path = f"{self.root}/raw"
-        raw = self.spark.read.option("basePath", path).option("mergeSchema", "true").parquet(f"{path}/provider=*/dataset={dataset}")
-        raw = raw.withColumn("source", F.col("provider"))
-        if dataset == "news":
-            return self.curate_news(raw)
-        return self.curate_bars(raw) if dataset == "ohlcv_daily" else self.curate_actions(raw)
+    def _promoted(self, provider: str, dataset: str, batch: DataFrame, number: int) -> None:
+        """Notes what a batch of raw files held. Written after the batch's rows are in their table: a batch that is repeated is noted again under its number."""
+        took = batch.groupBy("run_id").agg(F.count("*").alias("n"), F.countDistinct("__file").alias("f")).agg(F.array_sort(F.collect_list("run_id")).alias("run_ids"), F.sum("f").alias("files"), F.sum("n").alias("rows_read"))
+        note = took.select(F.lit(provider).alias("provider"), F.lit(dataset).alias("dataset"), F.lit(number).cast("long").alias("batch"), "run_ids", "files", "rows_read", F.current_timestamp().alias("taken_at"))
+        store.append_log(note, f"{self.root}/state/promotions")
+
+    def promotions(self) -> DataFrame:
+        """The ledger of promoted raw files, each batch as it was noted last."""
+        return dedupe.latest_wins(self._log("promotions"), ["provider", "dataset", "batch"], "taken_at", ["rows_read"])
+
+    def _raw_schema(self, path: str) -> str | None:
+        fs, where = store._fs(self.spark, path)
+        if not fs.exists(where):
+            return None
+        fields = self.spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(path).schema.fields
+        return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
+    def curate(self, dataset: str, provider: str | None = None, files: int = 200) -> dict:
+        """Raw payloads of a dataset that no earlier run took, at most `files` files a batch, into its tables; provider: of one vendor, None: of all, in the order of their names.
+
+        The streams' checkpoints (one for each vendor, and for news one for each table) are the ledger of what was taken: files
+        of earlier runs aren't opened again. A run that fails goes on with the batch that failed. Gives files, rows_read and batches; for news the
+        rows that were put into `articles` and `tickers`, too.
+        """
+        took = {"files": 0, "rows_read": 0, "batches": 0}
+        fs, where = store._fs(self.spark, f"{self.root}/raw/provider=*/dataset={dataset}")
+        vendors_ = sorted(p.getParent().getName().split("=", 1)[1] for p in store._names(fs, where))
+        for name in vendors_ if provider is None else [provider]:
+            path, state = f"{self.root}/raw/provider={name}/dataset={dataset}", f"{self.root}/state/streams/{name}/{dataset}"
+            if (schema := self._raw_schema(path)) is None:
+                continue
+            before = self.promotions().where((F.col("provider") == name) & (F.col("dataset") == dataset)).count()
+            if dataset == "news":
+                for table, counts in self._curate_news_stream(name, path, schema, state, files).items():
+                    took[table] = {k: n + took.get(table, {}).get(k, 0) for k, n in counts.items()}
+            else:
+                put = self.curate_bars if dataset == "ohlcv_daily" else self.curate_actions
+
+                def each(batch: DataFrame, number: int, name=name, put=put) -> None:
+                    batch = batch.persist()
+                    try:
+                        put(batch.drop("__file").withColumn("source", F.lit(name)), f"{name}-{dataset}-{number:08d}")
+                        self._promoted(name, dataset, batch, number)
+                    finally:
+                        batch.unpersist()
+
+                self._files(path, schema, files).writeStream.foreachBatch(each).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+            fresh = self.promotions().where((F.col("provider") == name) & (F.col("dataset") == dataset) & (F.col("batch") >= before))
+            sums = fresh.agg(F.sum("files").alias("files"), F.sum("rows_read").alias("rows_read"), F.count("*").alias("batches")).first()
+            took |= {k: took[k] + (sums[k] or 0) for k in ("files", "rows_read", "batches")}
+        return took
+
+    def _files(self, path: str, schema: str, files: int) -> DataFrame:
+        """A stream of raw files with run_id and __file from their paths."""
+        stream = self.spark.readStream.schema(schema).option("maxFilesPerTrigger", files).option("recursiveFileLookup", "true").parquet(path)
+        where = F.col("_metadata.file_path")
+        return stream.withColumns({"run_id": F.regexp_extract(where, "/run_id=([^/]+)/", 1), "__file": where})
+
+    def _curate_news_stream(self, provider: str, path: str, schema: str, state: str, files: int) -> dict[str, dict[str, int]]:
+        """First captures of articles and of their tickers, by keyed state: no stored id is read. Gives what was put into each."""
+        sums = {table: dict.fromkeys(("rows_in", "rows_new", "rows_replaced"), 0) for table in ("news_articles", "news_ticker_sentiment")}
+        kinds = {"news_articles": (["article_id"], tables.ARTICLES, ["article_id", "published_at"]), "news_ticker_sentiment": (["article_id", "ticker"], tables.TICKER_SENTIMENT, ["article_id", "ticker"])}
+        for table, (key, checks, required) in kinds.items():
+            wanted = [c.split(" ")[0] for c in TABLES[table][0].split(", ") if c.split(" ")[0] != "year"]
+
+            def put(batch: DataFrame, number: int, table=table, key=key, checks=checks, required=required) -> None:
+                good = self._valid(batch, checks, key, required, table, f"{provider}-{table}-{number:08d}")
+                for k, n in self._put(table, good, first=True).items():
+                    sums[table][k] += n
+
+            def prepare(stream: DataFrame, wanted=wanted) -> DataFrame:
+                return stream.select(*(F.col(c) for c in wanted if c in stream.columns))
+
+            first_capture.promote_first(self.spark, path, schema, "", f"{state}/{table}", key, "ingested_at", prepare, None, files, put)
+
+        def note(batch: DataFrame, number: int) -> None:
+            self._promoted(provider, "news", batch, number)
+
+        narrow = self._files(path, schema, files).select("article_id", "run_id", "__file")
+        narrow.writeStream.foreachBatch(note).option("checkpointLocation", f"{state}/ledger").trigger(availableNow=True).start().awaitTermination()
+        return {"articles": sums["news_articles"], "tickers": sums["news_ticker_sentiment"]}
 
     def members(self, index_name: str, day) -> DataFrame:
         return tables.members_as_of(self.table("universe_membership"), day, index_name)
@@ -294,6 +373,47 @@ class Lake:
             store.append_log(marks.select(*(c.split(" ")[0] for c in _LOGS["watermarks"].split(", "))), f"{self.root}/state/watermarks")
         return {"days": len(done), "articles": n, "over_quota": much, "error": error}
 
+    def stream_news(self, last, first, key: str = "", pages: int = 25, stream: str = "_FIREHOSE_") -> dict:
+        """The news stream day by day after its watermark, read by tasks: transports.register first.
+
+        A day is a batch of its own: its articles go to the raw folder and its watermark is noted, with articles or without. The
+        first day that fails (or has more pages than allowed) ends the run; the days before it are kept, and the next run begins with it.
+        """
+        marks = tables.watermark_latest(self._log("watermarks")).where((F.col("ticker") == stream) & (F.col("dataset") == "news")).select("high_water_date").first()
+        after = marks[0] if marks else (pd.Timestamp(first) - pd.Timedelta(days=1)).date()
+        done = {"days": 0, "articles": 0, "error": None}
+
+        def each(batch: DataFrame, number: int) -> None:
+            batch = batch.persist()
+            try:
+                days = [r[0] for r in batch.where("item is null").select("day").distinct().orderBy("day").collect()]  # the days of one batch
+                for day in days:
+                    self._take_day(batch.where((F.col("day") == day) & F.col("item").isNotNull()), day, stream)
+                done["days"] += len(days)
+                done["articles"] += batch.where("item is not null").count()
+            finally:
+                batch.unpersist()
+
+        source = self.spark.readStream.format("vendor_news").options(after=str(after), last=str(pd.Timestamp(last).date()), key=key, pages=str(pages)).load()
+        query = source.writeStream.foreachBatch(each).option("checkpointLocation", f"{self.root}/state/streams/{stream}").start()
+        try:
+            query.processAllAvailable()
+        except StreamingQueryException as e:  # what was read before stays, and is given with the error
+            told = [line for line in str(e).splitlines() if re.match(r"\s*(?:\w+\.)*(?:ValueError|OSError|URLError|HTTPError|TimeoutError|KeyError|JSONDecodeError)\b", line)]
+            done["error"] = (told[-1] if told else str(e).splitlines()[0]).strip()[:300]
+        finally:
+            query.stop()
+        return done
+
+    def _take_day(self, items: DataFrame, day, stream: str) -> None:
+        feed = items.select(F.from_json("item", news.FEED).alias("i")).select("i.*")
+        rows = dedupe.first_wins(news.parse_feed(feed, "firehose"), ["article_id", "ticker"], "published_at", ["title"]).withColumn("ingested_at", F.current_timestamp())
+        # a folder for each day: a day that is taken again after a failure replaces what it wrote before
+        path = f"{self.root}/raw/provider=firehose/dataset=news/run_id=day-{day}"
+        rows.write.mode("overwrite").parquet(path)
+        marks = self.spark.createDataFrame([(day, "firehose", "news", stream, f"day-{day}")], "high_water_date date, provider string, dataset string, ticker string, run_id string").withColumn("updated_at", F.current_timestamp())
+        store.append_log(marks.select(*(c.split(" ")[0] for c in _LOGS["watermarks"].split(", "))), f"{self.root}/state/watermarks")
+
     def closes(self, first=None, last=None, tickers: list[str] | None = None) -> DataFrame:
         """(ticker, date, close): adjusted closes within the bounds."""
         self.views()

@@ -11,12 +11,13 @@ import sys
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from ledgerline.sources import vendors
 
@@ -62,8 +63,8 @@ def spans(first: date, last: date, days: int = MINUTES_DAYS) -> list[tuple[date,
 
 
 class Requests(InputPartition):
-    def __init__(self, rows: list[tuple[str, str]]):
-        self.rows = rows
+    def __init__(self, rows: list[tuple[str, str]], per_minute: float):
+        self.rows, self.per_minute = rows, per_minute
 
 
 class RequestReader(DataSourceReader):
@@ -72,33 +73,47 @@ class RequestReader(DataSourceReader):
     def __init__(self, options: dict[str, str], send: Callable[[str], str]):
         self.send, self.options = send, options
         self.per_minute, self.size = float(options.get("per_minute", "60")), int(options.get("batch", "200"))
+        self.tasks, self.at_once = int(options.get("tasks", "4")), int(options.get("at_once", "4"))
+        self.spans = json.loads(options.get("spans", "{}"))
 
     def urls(self) -> list[tuple[str, str]]:
         """(ticker, url) of all requests; the window's end is exclusive at the vendor, so a day is added."""
         o = self.options
         address = o.get("url") or ADDRESSES[o["what"]]
         tickers = [t.strip().upper() for t in o.get("tickers", "").split(",") if t.strip()] or [""]
-        first, last = (date.fromisoformat(o[k]) if k in o else None for k in ("start", "end"))
-        windows = spans(first, last) if o.get("what") == "minutes" else [(first, last)]
         out = []
         for t in tickers:
+            own = dict(zip(("start", "end"), self.spans.get(t, ()), strict=False))
+            first, last = (date.fromisoformat(own.get(k, o.get(k))) if k in own or k in o else None for k in ("start", "end"))
+            windows = spans(first, last) if o.get("what") == "minutes" else [(first, last)]
             for a, b in windows:
                 named = {"ticker": urllib.parse.quote(t), "key": o.get("key", ""), "count": o.get("count", "50"), "first": _epoch(a) if a else "", "last": _epoch(b + timedelta(1)) if b else "", "day": b or ""}
                 out.append((t, address.format(**named)))
         return out
 
     def partitions(self) -> list[Requests]:
+        """Requests by chunks, in at most `tasks` partitions that share the vendor's rate, so that all tasks together stay within it."""
         every = self.urls()
-        return [Requests(every[i : i + self.size]) for i in range(0, len(every), self.size)]
+        n = max(1, min(self.tasks, -(-len(every) // self.size)))
+        return [Requests(every[i::n], self.per_minute / n) for i in range(n)]
 
     def read(self, partition: Requests) -> Iterator[tuple]:
-        gate = vendors.RateLimiter(self.per_minute)
-        for ticker, url in partition.rows:
-            gate.acquire()
+        """Requests start at the partition's rate; up to at_once of them wait for their answers at a time."""
+        gate = vendors.RateLimiter(partition.per_minute)
+
+        def one(ticker: str, url: str) -> tuple:
+            def call() -> str:
+                gate.acquire()  # a request that is tried again counts again
+                return self.send(url)
+
             try:
-                yield ticker, vendors.retried(lambda u=url: self.send(u)), None
+                return ticker, vendors.retried(call), None
             except (OSError, ValueError) as e:
-                yield ticker, None, f"{type(e).__name__}: {e}"
+                return ticker, None, f"{type(e).__name__}: {e}"
+
+        with ThreadPoolExecutor(self.at_once) as pool:
+            for at in range(0, len(partition.rows), self.size):  # answers of one chunk are held
+                yield from pool.map(lambda r: one(*r), partition.rows[at : at + self.size])
 
 
 class VendorRequests(DataSource):
@@ -117,11 +132,71 @@ class VendorRequests(DataSource):
         return RequestReader(dict(self.options), type(self).send)
 
 
+class Day(InputPartition):
+    def __init__(self, day: str):
+        self.day = day
+
+
+class NewsReader(DataSourceStreamReader):
+    """A news stream whose offsets are days: each batch is the next day, up to `last`. A task pages through it and gives its articles, then a row without one, which says that the day was read whole; a day that fails, or has more pages than allowed, fails its batch."""
+
+    def __init__(self, options: dict[str, str], send: Callable[[str], str]):
+        self.send, self.options = send, options
+        self.reached, self.last = options["after"], options["last"]
+
+    def initialOffset(self) -> dict:
+        return {"day": self.options["after"]}
+
+    def latestOffset(self) -> dict:
+        # what was asked for is given in order, a day at a time: self.reached is the last day that was planned
+        return {"day": str(min(date.fromisoformat(self.reached) + timedelta(1), max(date.fromisoformat(self.last), date.fromisoformat(self.reached))))}
+
+    def partitions(self, start: dict, end: dict) -> list[Day]:
+        self.reached = max(self.reached, end["day"])
+        first, last = date.fromisoformat(start["day"]), date.fromisoformat(end["day"])
+        return [Day(str(first + timedelta(i))) for i in range(1, (last - first).days + 1)]
+
+    def commit(self, end: dict) -> None:
+        pass
+
+    def read(self, partition: Day) -> Iterator[tuple]:
+        day, pages = date.fromisoformat(partition.day), int(self.options.get("pages", "25"))
+        gate = vendors.RateLimiter(float(self.options.get("per_minute", "60")))
+
+        def send(url: str) -> str:
+            gate.acquire()
+            return self.send(url)
+
+        items, whole = paged_day(day, send, self.options.get("key", ""), pages)
+        if not whole:
+            raise ValueError(f"more pages than allowed on {day}")
+        for item in items:
+            yield day, json.dumps(item)
+        yield day, None
+
+
+class VendorNews(DataSource):
+    """spark.readStream.format("vendor_news").options(after="2024-01-01", last="2024-01-31", key="...").load(): the days after `after`."""
+
+    send: Callable[[str], str] = staticmethod(over_http)
+
+    @classmethod
+    def name(cls) -> str:
+        return "vendor_news"
+
+    def schema(self) -> str:
+        return "day date, item string"
+
+    def streamReader(self, schema) -> NewsReader:
+        return NewsReader(dict(self.options), type(self).send)
+
+
 def register(spark: SparkSession, send: Callable[[str], str] | None = None) -> None:
-    """Makes the source known; send: another way to the network."""
+    """Makes the sources known; send: another way to the network."""
     for module in (sys.modules[__name__], sys.modules[vendors.__name__]):
         cloudpickle.register_pickle_by_value(module)  # workers need not have this package installed
-    spark.dataSource.register(type("VendorRequests", (VendorRequests,), {"send": staticmethod(send or over_http)}))
+    for source in (VendorRequests, VendorNews):
+        spark.dataSource.register(type(source.__name__, (source,), {"send": staticmethod(send or over_http)}))
 
 
 def requested(spark: SparkSession, what: str, tickers: list[str], **options) -> DataFrame:
@@ -153,9 +228,9 @@ def chart_history(payloads: DataFrame) -> DataFrame:
 
 
 def history(spark: SparkSession, plan: DataFrame, dataset: str) -> DataFrame:
-    """Bars or actions for a plan (ticker, start, end) of one batch, with status and error; one request a ticker over the widest span."""
-    asked = plan.select("ticker", "start", "end").collect()
-    got = requested(spark, "history", [r.ticker for r in asked], start=min(r.start for r in asked), end=max(r.end for r in asked))
+    """Bars or actions for a plan (ticker, start, end) of one batch, with status and error; one request a ticker over its own span."""
+    asked = plan.groupBy(F.upper("ticker").alias("ticker")).agg(F.min("start").alias("start"), F.max("end").alias("end")).collect()  # a batch's tickers
+    got = requested(spark, "history", [r.ticker for r in asked], spans=json.dumps({r.ticker: (str(r.start), str(r.end)) for r in asked}))
     wide = chart_history(got)
     rows = vendors.history_bars(wide) if dataset == "ohlcv_daily" else vendors.history_actions(wide)
     failed = got.where("payload is null").select("ticker", F.lit("failed").alias("status"), "error")
