@@ -207,6 +207,28 @@ def test_passages_that_the_first_document_holds_in_part(spark):
     assert all(hit[i][want[i]].all() for i in want)
 
 
+@pytest.mark.parametrize("edits", [3, 5])
+def test_passages_that_are_not_like_their_first_holder(spark, edits):
+    """Of three documents the first holds the passage with words changed, so that the two later ones are like each other only."""
+    rows, groups = [], 150
+    for g in range(groups):
+        passage = prose(20_000 + g, 60, vocabulary(20_000 + g)).split()
+        first, last = list(passage), list(passage)
+        for e in range(edits):
+            first[(7 + e * 50 // edits) % 60] = f"other{g}x{e}"
+        last[30] = f"changed{g}"
+        for k, p in enumerate((first, passage, last)):
+            own = [prose(30_000 + 6 * g + 2 * k + s, 30, vocabulary(30_000 + 6 * g + 2 * k + s)) for s in (0, 1)]
+            rows.append((3 * g + k, f"{own[0]} {' '.join(p)} {own[1]}", "s"))
+    pairs = {(r.doc_id, r.ref_doc_id) for r in compact_windows.repeated_passages(docs(spark, rows)).collect()}
+    # brute force over all pairs of passages
+    grams = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t, _ in rows for w in [t.split()[30:90]]}
+    alike = {(b, a) for a in grams for b in range(a + 1, a - a % 3 + 3) if 100 * len(grams[a] & grams[b]) >= 80 * len(grams[a] | grams[b])}
+    assert alike == {(3 * g + 2, 3 * g + 1) for g in range(groups)}
+    print("found", len(alike & pairs), "of", groups)
+    assert len(alike & pairs) >= 0.95 * groups and pairs <= alike
+
+
 def test_centres_are_window_minima():
     values = np.random.default_rng(2).integers(0, 50, 300).astype(np.uint64)
     want = set()
