@@ -219,6 +219,34 @@ def sector_coverage(spark, sf_dir):
     return vendors.coverage(_general(spark, sf_dir), 500, 3)
 
 
+@_query(f"WITH {_GICS} SELECT ticker, CASE WHEN exchange = '' THEN 'XX' ELSE exchange END AS exchange, gic_sector, gic_group, '' AS gic_industry, '' AS gic_sub_industry, CASE WHEN gic_sector = '' AND gic_group = '' THEN 'gics_missing' ELSE '' END AS note FROM g")
+def general_payloads(spark, sf_dir):
+    k = F.col("c_custkey")
+    fields = F.struct(F.lit("XX").alias("Exchange"), F.when(k % 4 != 0, F.col("c_mktsegment")).alias("GicSector"), F.when(k % 8 != 0, "G").alias("GicGroup"), F.lit(1).alias("Employees"))
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.concat(F.lit("c"), k.cast("string")).alias("ticker"), F.when(k % 3 == 0, "").otherwise(F.col("c_nationkey").cast("string")).alias("exchange"), F.to_json(fields).alias("payload"))
+    return vendors.general_payloads(rows, "2024-01-01").drop("effective_from", "effective_to")
+
+
+@_query("""WITH e AS (SELECT upper(event_type) AS ticker, to_timestamp(floor(epoch(ts) / 60) * 60)::TIMESTAMP AS t, CAST(event_id % 500 AS DOUBLE) AS p, CAST(event_id % 90 AS BIGINT) AS v FROM events WHERE event_id % 7 <> 0),
+m AS (SELECT ticker, t, min((p, v)) AS x FROM e GROUP BY 1, 2)
+SELECT ticker, CAST(epoch(t) AS BIGINT) AS at, x[1] AS open, x[1] AS high, x[1] AS low, x[1] AS close, x[2] AS volume FROM m""")
+def minute_payloads(spark, sf_dir):
+    stamp = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    item = F.struct((F.floor(stamp / 60) * 60).alias("timestamp"), *((F.col("event_id") % 500).cast("double").alias(c) for c in vendors.PRICES), F.when(F.col("event_id") % 7 != 0, F.col("event_id") % 90).alias("volume"))
+    # a payload for each ticker and hour; every other hour's minutes come twice
+    hours = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy(F.lower("event_type").alias("ticker"), F.floor(stamp / 3600).alias("hour")).agg(F.to_json(F.collect_list(item), {"ignoreNullFields": "false"}).alias("payload"))
+    again = hours.where("hour % 2 = 0").unionByName(hours).unionByName(hours.withColumn("payload", F.lit('{"message": "nothing"}')))
+    return vendors.minute_payloads(again.drop("hour")).select("ticker", F.unix_timestamp("ts").alias("at"), *vendors.PRICES, "volume")
+
+
+@_query("SELECT concat('V', CAST(l_suppkey AS VARCHAR)) AS ticker, CAST(l_shipdate AS DATE) AS date, l_extendedprice AS open, l_extendedprice AS high, l_extendedprice AS low, l_extendedprice AS close, CASE WHEN l_linenumber % 2 = 0 THEN 0 ELSE CAST(l_quantity AS BIGINT) END AS volume, CASE WHEN l_linenumber % 2 = 1 THEN l_extendedprice END AS adjusted_close FROM lineitem WHERE l_linenumber % 3 <> 0")
+def bulk_payloads(spark, sf_dir):
+    odd, price = F.col("l_linenumber") % 2 != 0, F.when(F.col("l_linenumber") % 3 != 0, F.col("l_extendedprice").cast("double"))
+    item = F.struct(F.concat(F.lit("v"), F.col("l_suppkey").cast("string")).alias("code"), F.to_date("l_shipdate").cast("string").alias("date"), *(price.alias(c) for c in vendors.PRICES), F.when(odd, F.col("l_quantity").cast("double")).alias("volume"), F.when(odd, price).alias("adjusted_close"))
+    days = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_shipdate", F.pmod(F.hash("l_orderkey"), F.lit(8)).alias("part")).agg(F.to_json(F.collect_list(item)).alias("payload"))
+    return vendors.bulk_payloads(days)
+
+
 @_query("SELECT article_id, CASE WHEN length(article_id) % 2 = 0 THEN CAST(date + 9 AS VARCHAR) ELSE CAST(date AS VARCHAR) END AS day FROM news", ("news",))
 def late_articles(news_):
     rows = news_.withColumns({"published_at": F.col("date").cast("timestamp"), "ingested_at": F.when(F.length("article_id") % 2 == 0, F.date_add("date", 9)).otherwise(F.date_sub("date", 2)).cast("timestamp")})

@@ -91,6 +91,30 @@ def intraday_bars(rows: DataFrame) -> DataFrame:
     return first_wins(_priced(out), ["ticker", "ts"], "ts", [*PRICES, "volume"]).withColumn("segment", segment("ts"))
 
 
+def _listed(schema: str) -> Column:
+    """The payload's list as structs; what is no list counts as an empty one."""
+    return F.explode(F.when(F.ltrim("payload").startswith("["), F.from_json("payload", f"array<struct<{schema}>>")))
+
+
+def minute_payloads(payloads: DataFrame) -> DataFrame:
+    """Intraday bars from (ticker, payload), each the JSON list of a ticker's minutes; payloads whose spans overlap give an instant once."""
+    cells = ",".join(f"{c}:string" for c in [*PRICES, "volume"])
+    return intraday_bars(payloads.select("ticker", _listed(f"timestamp:long,{cells}").alias("i")).select("ticker", "i.*").where("timestamp is not null"))
+
+
+def bulk_payloads(payloads: DataFrame) -> DataFrame:
+    """Daily bars from (payload), each the JSON list of an exchange's codes on one day; rows without a code or a date go."""
+    cells = ",".join(f"{c}:string" for c in ["code", "date", *PRICES, "volume", "adjusted_close"])
+    rows = payloads.select(_listed(cells).alias("i")).select("i.*")
+    return bulk_bars(rows.withColumn("date", F.col("date").try_cast("date")).where("code <> '' and date is not null"))
+
+
+def general_payloads(payloads: DataFrame, as_of) -> DataFrame:
+    """Security-master rows from (ticker, exchange, payload), the JSON object of a company's general data; what is none counts as an object without fields."""
+    general = F.from_json("payload", "Exchange string, GicSector string, GicGroup string, GicIndustry string, GicSubIndustry string")
+    return sector_rows(payloads.select("ticker", "exchange", general.alias("general")), as_of)
+
+
 def bulk_bars(rows: DataFrame, ticker: str = "code") -> DataFrame:
     """Daily bars from a bulk day or a symbol's history; an adjusted close is kept where the vendor gives one."""
     more = [_number("adjusted_close").alias("adjusted_close")] if "adjusted_close" in rows.columns else []

@@ -101,3 +101,14 @@ def test_synthetic_source_and_events(spark):
     paid = {r.date: r.close for r in synthetic.with_dividend(one, "2024-02-01", 1.0).collect()}
     before = base[max(d for d in base if d < day)].close
     assert paid[day] == pytest.approx(base[day].close * (1 - 1 / before))
+
+
+def test_payload_lists_that_are_none(spark):
+    one = '[{"timestamp": 1704205800, "gmtoffset": 0, "open": 1, "high": 2, "low": 0.5, "close": 1.5, "volume": 7}, {"timestamp": 1704205860, "open": 1, "high": 2, "low": 0.5, "close": 1.5, "volume": null}]'
+    texts = [one, one, "[]", "{}", "", None, "no json", '[{"code": null, "date": "2024-01-02", "close": 1}, {"code": "b", "date": "soon", "open": 1, "high": 1, "low": 1, "close": 1}]']
+    rows = spark.createDataFrame([("a", "", t) for t in texts], "ticker string, exchange string, payload string")
+    assert [(r.ticker, r.close, r.volume, r.segment) for r in vendors.minute_payloads(rows).collect()] == [("A", 1.5, 7, "rth")]
+    assert vendors.bulk_payloads(rows).count() == 0
+    day = spark.createDataFrame([('[{"code": "b", "exchange_short_name": "US", "date": "2024-01-02", "open": 1, "high": 2, "low": 1, "close": 1.5, "adjusted_close": 1.4, "volume": 3}]',)], "payload string")
+    assert [(r.ticker, str(r.date), r.adjusted_close, r.volume) for r in vendors.bulk_payloads(day).collect()] == [("B", "2024-01-02", 1.4, 3)]
+    assert {r.note for r in vendors.general_payloads(rows, "2024-01-01").collect()} == {"gics_missing"}
