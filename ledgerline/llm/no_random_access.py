@@ -1,11 +1,12 @@
 """Exact top-k by inner product, by sorted lists that are read in order only.
 
-Vectors become integers, floor(1024 * x) of each component. Over a block of vectors each dimension is a sorted list; for a
-query, every list is read from the end that gives the largest products. What has been read of a vector counts in full; what
-hasn't lies between the list's last value and the value at the reading position, which gives the vector a lower and an upper
-bound. For a whole set of queries these bounds are products of matrices in which unread components are replaced. Vectors whose
-upper bound is below the k-th lower bound, or below the k-th score of the blocks read before, cannot qualify; lists are read
-deeper until few others are left, whose scores are then resolved exactly.
+Vectors become integers, floor(1024 * x) of each component. Each dimension is a list. The vectors of a slot come by falling
+length, one block after another, and a block's lists are read in the order of their spread. A list that hasn't been read
+lies between its two ends, and the unread part of a vector is no longer than its remaining length; both bound a vector's score
+from above. The k-th best score so far bounds the k-th best of all from below. A query passes over a block whose lists' ends
+and longest vector cannot reach that score; in the other blocks vectors that cannot reach it after a share of the lists are left out,
+and the scores of the others are resolved exactly. Sums are carried on from share to share, so that a block costs at most one
+product of matrices. A few queries tell for each slot whether reading a share first leaves out enough to pay.
 
 Every query meets all vectors of a slot: rows are dealt over slots by their place in the table, so that repeated rows spread
 evenly, and each set of at most QUERIES queries goes to every slot. A task holds one set of queries and one block of BLOCK vectors,
@@ -30,8 +31,10 @@ from ledgerline.llm._spark import Stash, map_arrow
 SCALE = 1024
 #: Vectors of a block, the least number of vectors of a slot, and queries that a task holds at most.
 BLOCK, SLOT, QUERIES = 2048, 8192, 32_768
-#: Shares of the lists at which bounds are taken.
-DEPTHS = (0.5, 0.75, 0.9, 1.0)
+#: Shares of the lists after which bounds may be taken, and queries that tell which share pays.
+SHARES, PROBES = (0.125, 0.25, 0.5), 8
+#: A share pays if at most so much of its pairs stay open; pairs below FEW of all are resolved one by one.
+PAYS, FEW = 0.05, 0.02
 #: Vectors with larger components are read apart from the others.
 COMMON = float(1 << 20)
 #: Products that are held at once.
@@ -52,12 +55,27 @@ def _reach(v: np.ndarray) -> int:
     return int(abs(v).max()) if v.size else 0
 
 
+def _read(share: float, n: int) -> int:
+    return max(1, int(n * share))
+
+
+def _lengths(x: np.ndarray) -> np.ndarray:
+    """Lengths of rows, rounded up."""
+    return np.sqrt(np.einsum("ij,ij->i", x, x)) * (1 + 1e-9)
+
+
+def _ends(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """For each query the most that a vector between the lists' ends can score."""
+    return np.maximum(q, 0) @ high + np.minimum(q, 0) @ low
+
+
 class Best:
     """The k best vectors so far for each query (rows of queries, with their ids)."""
 
     def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int):
         self.ids, self.queries, self.k = ids, queries, k
         self.floor = np.full(len(ids), -np.inf)
+        self.share = None
         self.query, self.score, self.vector = (np.zeros(0, np.int64) for _ in range(3))
         common = np.abs(queries).max(axis=1) < COMMON / SCALE if len(ids) else np.zeros(0, bool)
         self.parts = [(at, whole(queries[at])) for at in (np.flatnonzero(common), np.flatnonzero(~common)) if len(at)]
@@ -76,35 +94,66 @@ class Best:
                     self._meet(ids[rows], v, asks[at : at + step], q[at : at + step])
 
     def _meet(self, ids: np.ndarray, v: np.ndarray, asks: np.ndarray, q: np.ndarray) -> None:
-        own = ids[:, None] == self.ids[asks][None, :]
         sums = _reach(v) * _reach(q) * v.shape[1]
         if sums < 1 << 53:
-            i, j = np.nonzero(self._open(v.astype(np.float64), q.astype(np.float64), own, asks))
-            score = np.concatenate([np.zeros(0, np.int64), *(np.einsum("ij,ij->i", v[i[a : a + 20_000]], q[j[a : a + 20_000]]) for a in range(0, len(i), 20_000))])
-        else:  # bounds would not be exact
-            i, j = np.nonzero(~own)
-            score = v @ q.T if sums < 1 << 62 else np.clip(v.astype(object) @ q.T.astype(object), -_LARGEST, _LARGEST).astype(np.int64)
-            score = score[i, j]
-        self._keep(asks[j], score, ids[i])
-
-    def _open(self, v: np.ndarray, q: np.ndarray, own: np.ndarray, asks: np.ndarray) -> np.ndarray:
-        """[vectors, queries]: whether a vector may be among the query's k best."""
-        n = len(v)
-        lists = np.sort(v, axis=0)
-        up, down = np.maximum(q, 0).T, np.minimum(q, 0).T  # read from the large end, from the small end
+            self._bounded(ids, v.astype(np.float64), asks, q.astype(np.float64))
+            return
+        # bounds would not be exact
+        i, j = np.nonzero(ids[:, None] != self.ids[asks][None, :])
+        score = v @ q.T if sums < 1 << 62 else np.clip(v.astype(object) @ q.T.astype(object), -_LARGEST, _LARGEST).astype(np.int64)
+        self._keep(asks[j], score[i, j], ids[i])
+
+    def _bounded(self, ids: np.ndarray, v: np.ndarray, asks: np.ndarray, q: np.ndarray) -> None:
+        """A block whose sums float64 holds exactly."""
+        ends = v.min(axis=0), v.max(axis=0)
+        reach = np.minimum(_ends(q, *ends), _lengths(q) * _lengths(v).max())
+        going = np.flatnonzero(reach >= self.floor[asks])
+        if not len(going):
+            return
+        asks, q = asks[going], q[going]
         floor = self.floor[asks]
-        open_ = ~own
-        for depth in DEPTHS:
-            at = min(n, max(1, int(np.ceil(n * depth))))
-            top, bottom = lists[n - at], lists[at - 1]
-            if np.isinf(floor).any() and n - own.sum(axis=0).max() >= self.k:
-                low = np.where(v >= top, v, lists[0]) @ up + np.where(v <= bottom, v, lists[-1]) @ down
-                low[own] = -np.inf
-                floor = np.maximum(floor, np.partition(low, n - self.k, axis=0)[n - self.k])
-            open_ &= np.maximum(v, top) @ up + np.minimum(v, bottom) @ down >= floor
-            if open_.sum() <= 4 * self.k * len(asks):
-                break
-        return open_
+        lists = np.argsort(ends[0] - ends[1], kind="stable")
+        known = np.isfinite(floor)
+        if known.all():
+            if self.share is None:
+                few = np.linspace(0, len(asks) - 1, min(PROBES, len(asks))).astype(int)
+                left = {s: np.mean(self._after(s, lists, v, q[few], ends)[1] >= floor[few, None]) for s in SHARES}
+                self.share = next((s for s in SHARES if left[s] <= PAYS), 1.0)
+            if self.share < 1:
+                part, upper = self._after(self.share, lists, v, q, ends)
+                open_ = upper >= floor[:, None]
+                n = np.count_nonzero(open_)
+                if n <= FEW * open_.size:
+                    j, i = np.nonzero(open_)
+                    other = ids[i] != self.ids[asks[j]]
+                    i, j = i[other], j[other]
+                    score = np.concatenate([np.zeros(0), *(np.einsum("ij,ij->i", v[i[a : a + 20_000]], q[j[a : a + 20_000]]) for a in range(0, len(i), 20_000))])
+                    self._keep(asks[j], score.astype(np.int64), ids[i])
+                    return
+                some = np.flatnonzero(open_.any(axis=0))
+                rest = lists[_read(self.share, len(lists)) :]
+                ids, score = ids[some], part[:, some] + q[:, rest] @ v[some][:, rest].T
+            else:
+                score = q @ v.T
+        else:
+            score = q @ v.T
+        for i in np.flatnonzero(np.isin(ids, self.ids[asks])):
+            score[self.ids[asks] == ids[i], i] = -np.inf
+        if not known.all() and score.shape[1] >= self.k:
+            new = np.flatnonzero(~known)
+            floor[new] = np.partition(score[new], score.shape[1] - self.k, axis=1)[:, score.shape[1] - self.k]
+        j, i = np.divmod(np.flatnonzero((score >= floor[:, None]) & (score > -np.inf)), score.shape[1])
+        self._keep(asks[j], score[j, i].astype(np.int64), ids[i])
+
+    @staticmethod
+    def _after(share: float, lists: np.ndarray, v: np.ndarray, q: np.ndarray, ends: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """[queries, vectors]: the sums over a share of the lists, and the most that scores can be."""
+        at = _read(share, len(lists))
+        read, rest = lists[:at], lists[at:]
+        part = q[:, read] @ v[:, read].T
+        others = q[:, rest]
+        most = np.minimum(np.outer(_lengths(others), _lengths(v[:, rest])), _ends(others, ends[0][rest], ends[1][rest])[:, None])
+        return part, part + most
 
     def _keep(self, query: np.ndarray, score: np.ndarray, vector: np.ndarray) -> None:
         query, score, vector = np.concatenate((self.query, query)), np.concatenate((self.score, score)), np.concatenate((self.vector, vector))
@@ -191,8 +240,9 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     each = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     asks = rows.read().where(is_query).select("dim", dealt(1, sets).alias("part"), each(slots).alias("slot"), F.lit(0).alias("kind"), "vec_id", "row", "x")
     held = rows.read().select("dim", each(sets).alias("part"), dealt(2, slots).alias("slot"), F.lit(1).alias("kind"), "vec_id", "row", "x")
+    length = F.aggregate("x", F.lit(0.0), lambda sum_, x: sum_ + x * x)
     key = ["dim", "part", "slot"]
-    met = asks.unionByName(held).repartition(sets * slots, *key).sortWithinPartitions(*key, "kind")
+    met = asks.unionByName(held).repartition(sets * slots, *key).sortWithinPartitions(*key, "kind", length.desc())
     found = map_arrow(met, _search(k), "query_id long, row long, vec_id long, score long")
     best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -465,17 +465,48 @@ def test_top_k_of_an_empty_table(spark):
     assert no_random_access.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
-def test_bounds_close_before_all_is_read():
+def best_of(v, queries, k=10, block=256):
+    """What Best keeps of vectors that come by falling length, with the pairs whose scores it resolved."""
+    best, order, resolved = no_random_access.Best(np.arange(queries), v[:queries], k), np.argsort(-(v * v).sum(axis=1)), 0
+    keep = best._keep
+
+    def counted(query, score, vector):
+        nonlocal resolved
+        resolved += len(query)
+        keep(query, score, vector)
+
+    best._keep = counted
+    for at in range(0, len(v), block):
+        best.read(order[at : at + block], v[order[at : at + block]])
+    got = [[] for _ in range(queries)]
+    for a, score, i in zip(best.query, best.score, best.vector, strict=True):
+        got[a].append((int(score), int(i)))
+    return got, resolved, best.share
+
+
+@pytest.mark.parametrize("kind", ["normal", "decaying", "lengths", "ties", "zeros", "copies"])
+def test_bounds_close_before_all_is_read(kind):
     rng = np.random.default_rng(8)
-    v = rng.integers(-1000, 1000, (4096, 32)) / 1024
-    best = no_random_access.Best(np.array([-1]), v[:1], 10)
-    best.read(np.arange(2048), v[:2048])
+    v = rng.normal(size=(4096, 32))
+    v = {"normal": v, "decaying": v / np.arange(1, 33), "lengths": v * rng.lognormal(0, 1.5, (4096, 1)), "ties": np.sign(v), "zeros": v * 0, "copies": v[rng.integers(0, 9, 4096)]}[kind]
+    got, resolved, share = best_of(v, 40)
     w = no_random_access.whole(v)
-    open_ = best._open(w[2048:].astype(float), w[:1].astype(float), np.zeros((2048, 1), bool), np.array([0]))
-    assert open_.sum() <= 40
-    best.read(np.arange(2048, 4096), v[2048:])
-    want = sorted((-int(s), i) for i, s in enumerate(w @ w[0]))[:10]
-    assert list(zip((-best.score).tolist(), best.vector.tolist())) == want
+    for i in range(40):
+        assert got[i] == [(-a, j) for a, j in sorted((-int(x), j) for j, x in enumerate(w @ w[i]) if j != i)[:10]]
+    if kind in ("normal", "decaying", "lengths"):
+        assert resolved < 40 * 4096 / 20
+    if kind in ("decaying", "lengths"):
+        assert share is None or share < 1
+
+
+def test_queries_pass_over_blocks_that_cannot_reach():
+    rng = np.random.default_rng(9)
+    near, far = rng.normal(size=(512, 16)), rng.normal(size=(2048, 16)) / 1000
+    best = no_random_access.Best(np.arange(20), near[:20], 10)
+    best.read(np.arange(512), near)
+    floor = best.floor.copy()
+    best.read(np.arange(512, 2560), far)
+    assert best.share is None and (best.floor == floor).all() and (best.vector < 512).all()
 
 
 def test_packing_round_trip(spark):
