@@ -370,6 +370,44 @@ def test_line_rules_keep_prose(spark):
     assert got[1] == (True, good) and not got[2][0] and not got[3][0]
 
 
+LINES = {
+    "symbols": ["a | b | c | d | e |", "### *** %%% one"],
+    "shouting": ["BUY NOW AND SAVE a LOT", "THIS IS AN OFFER"],
+    "repetition": ["spam " * 12 + "and eggs.", "a b " * 8 + "."],
+    "boilerplate": ["Read our Privacy Policy for more about what we keep of you.", "Alle Rechte vorbehalten.", "© 2024 Firma, tous droits réservés dans le monde entier.", "Todos los derechos reservados, Madrid 2024.", "Home Login", "Impressum", "Subscribe: newsletter, contact us"],
+    "links": ["http://example.com/a www.example.org", "mail me@example.com"],
+    "menu": ["Sport · Politics · Arts · Weather", "News - Local - Abroad"],
+    "counter": ["12.05.2024 10:33", "Page 2 of 14", "3 comments"],
+    "navigation": ["Latest reports", "Sport"],
+    "unfinished": ["What the minister said about the bridge", "Ten ways to cook a pumpkin"],
+}
+PROSE = ["He left, and nobody knew why.", "She said - and he believed it - that it was late.", "In 1990, 2000 came.", "Everyone is at home by the evening, and we share what there is.", "One word more?", "The town lies at the foot of a hill from which one sees as far as the sea when it is clear", "El tiempo pasa y nadie vuelve.", "Der Kontakt zu den Nachbarn brach im Winter nach dem Streit um den Zaun ab."]
+
+
+@pytest.mark.parametrize("rule", LINES)
+def test_each_line_rule(rule):
+    assert [line_rules.failing(x.encode()) for x in LINES[rule]] == [rule] * len(LINES[rule])
+
+
+def test_prose_passes_line_rules():
+    assert [line_rules.failing(x.encode()) for x in PROSE] == [None] * len(PROSE)
+    wrapped = b"The river rose in the night and\nby morning the lower fields were\n\n under water.\nThe river rose in the night and\nThen"
+    assert [rule for _, rule in line_rules.judged(wrapped)] == [None, None, None, "unfinished", "navigation"]
+
+
+def test_line_rules_equal_their_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    lines = [*(x for part in LINES.values() for x in part), *PROSE, "", " \t ", "élan vital et plus encore»", "ends in a quote ”"]
+    texts = [None, "", *lines, "\n".join(lines)] + ["\n".join(random.Random(i).choices(lines, k=9)) for i in range(200)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/d")
+    got = line_rules.line_rules(spark.read.parquet(f"{tmp_path}/d"), with_text=False).toPandas()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    want = con.execute(line_rules.SQL).df()[list(got.columns)]
+    rows = lambda df: sorted(map(tuple, df.values.tolist()))
+    assert rows(got) == rows(want)
+
+
 def lm_rows():
     return [(i, prose(i, 80, vocabulary(1, 50)), "s") for i in range(80)] + [(200, "zqxj wvkq" * 20, "s"), (201, None, "s")]
 
