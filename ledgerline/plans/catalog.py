@@ -470,7 +470,7 @@ def synthetic_bars(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    from ledgerline.plans import catalog_jobs, catalog_series  # noqa: F401  register their own
+    from ledgerline.plans import catalog_jobs, catalog_lake, catalog_series  # noqa: F401  register their own
 
     return dict(_queries)
 

@@ -303,13 +303,13 @@ def fundamentals(spark, sf_dir):
     return lake.table("fundamentals_snapshot").select("ticker", "pe", "brand")
 
 
-@_query("SELECT article_id, ticker, CASE WHEN length(article_id) % 2 = 0 THEN 0.25 ELSE score_av END AS score_finbert, CASE WHEN length(article_id) % 2 = 0 THEN 'r1' ELSE 'r0' END AS finbert_revision FROM news WHERE score_av IS NOT NULL", ("news",))
+@_query("SELECT article_id, ticker, CASE WHEN length(article_id) % 2 = 0 THEN len(replace(article_id, '1', '')) / CAST(length(article_id) AS DOUBLE) ELSE score_av END AS score_finbert, CASE WHEN length(article_id) % 2 = 0 THEN 'r1' ELSE 'r0' END AS finbert_revision FROM news WHERE score_av IS NOT NULL", ("news",))
 def scored_articles(news_):
     even = F.length("article_id") % 2 == 0
     rows = news_.where("score_av is not null").select("article_id", "ticker", F.when(~even, F.col("score_av")).alias("score_finbert"), F.when(~even, "r0").alias("finbert_revision"))
     texts = news_.select("article_id").distinct().withColumns({"title": F.col("article_id"), "summary": F.lit("words")})
     open_ = ingest.pending(rows, "score_finbert", ["article_id", "ticker"])
-    done = ingest.with_scores(open_, texts, ingest.scorer(lambda: lambda given: [0.25 for _ in given]), "r1")
+    done = ingest.with_scores(open_, texts, ingest.scorer(lambda: lambda given: [len(t.split(". ")[0].replace("1", "")) / len(t.split(". ")[0]) for t in given]), "r1")
     return store.merged(rows, done.select(rows.columns), ["article_id", "ticker"])
 
 

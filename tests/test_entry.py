@@ -13,7 +13,7 @@ def test_registers_queries_and_their_sql():
 
 
 @pytest.mark.skipif(not SMALL.exists(), reason="needs the driver's tables")
-@pytest.mark.parametrize("name", ["adj_close", "flag_summary", "daily_ic", "reconcile_summary", "trading_day", "table_upsert", "promoted_files", "curated_news", "built_factor", "feed_articles", "chart_payloads", "general_payloads", "minute_payloads", "bulk_payloads"])
+@pytest.mark.parametrize("name", ["adj_close", "flag_summary", "daily_ic", "reconcile_summary", "trading_day", "table_upsert", "promoted_files", "curated_news", "built_factor", "feed_articles", "chart_payloads", "general_payloads", "minute_payloads", "bulk_payloads", "scored_articles", "directory_refresh", "roster_refreshes", "validation_report", "reconciliation_run", "exported"])
 def test_matches_sql(spark, name):
     con = duckdb.connect()
     con.execute("set timezone = 'UTC'")
