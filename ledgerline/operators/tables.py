@@ -17,12 +17,26 @@ TICKER_SENTIMENT = {"ticker_length": "length(ticker) between 1 and 12", "relevan
 NOT_COMMON = "warrant|right|unit|preferred|notes|debenture|bond"
 
 
-def validated(df: DataFrame, checks: dict[str, str], key: list[str], required: list[str] = ()) -> DataFrame:
-    """df with failed: the names of the checks that a row fails. A null in a required column fails not_null_<column>; a row whose key is repeated fails unique_key, where nulls are equal (such rows fail not_null as well)."""
+def validated(df: DataFrame, checks: dict[str, str], key: list[str], required: list[str] = (), slices: int = 16) -> DataFrame:
+    """df with failed: the names of the checks that a row fails. A null in a required column fails not_null_<column>; a row whose key is repeated fails unique_key, where nulls are equal (such rows fail not_null as well).
+
+    Keys are counted in parts first, and rows meet the repeated ones in `slices` shares of each key, so that a key that a third of all
+    rows have isn't one task's. slices=0: rows come with few to a key, and already lie by their keys; they are counted in place.
+    """
     tests: list[Column] = [F.when(F.col(c).isNull(), F.lit(f"not_null_{c}")) for c in required]
     tests += [F.when(~F.coalesce(F.expr(cond), F.lit(True)), F.lit(name)) for name, cond in checks.items()]
-    tests.append(F.when(F.count("*").over(Window.partitionBy(*key)) > 1, F.lit("unique_key")))
-    return df.withColumn("failed", F.array_compact(F.array(*tests)))
+    if not slices:
+        tests.append(F.when(F.count("*").over(Window.partitionBy(*key)) > 1, F.lit("unique_key")))
+        return df.withColumn("failed", F.array_compact(F.array(*tests)))
+    own = [f"__key{i}" for i in range(len(key))]
+    repeated = df.groupBy(*(F.col(k).alias(o) for k, o in zip(key, own, strict=True))).agg(F.count("*").alias("__n")).where("__n > 1")
+    repeated = repeated.select(*own, F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("__part"))
+    met = F.col("__slice") == F.col("__part")
+    for k, o in zip(key, own, strict=True):
+        met = met & F.col(k).eqNullSafe(F.col(o))
+    rows = df.withColumn("__slice", F.spark_partition_id() % slices).join(repeated, met, "left")
+    tests.append(F.when(F.col("__part").isNotNull(), F.lit("unique_key")))
+    return rows.withColumn("failed", F.array_compact(F.array(*tests))).drop("__slice", "__part", *own)
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:

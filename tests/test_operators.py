@@ -151,3 +151,16 @@ def test_detectors_share_one_exchange(spark):
     alone = [detect.mad_outliers(b), detect.stale_prices(b), detect.zero_volume_runs(b), detect.unexplained_gaps(b, a), detect.missing_sessions(b, s)]
     assert [exchanges(df) for df in alone[:3]] == [1, 1, 1]
     assert exchanges(detect.battery(b, a, s)) == exchanges(alone[3]) + exchanges(alone[4])
+
+
+def test_repeated_keys_in_slices_as_in_place(spark):
+    rows = [("hot", i) for i in range(300)] + [(None, 1), (None, 2), ("a", 1), ("b", 1), ("b", -1), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, v int").repartition(7)
+    found = [sorted((str(r.k), str(r.v), ",".join(r.failed)) for r in tables.validated(df, {"positive": "v > 0"}, ["k"], ["k"], slices).collect()) for slices in (0, 1, 4, 16)]
+    assert found[0] == found[1] == found[2] == found[3] and len(found[0]) == len(rows)
+    by_key = {(k, v): f for k, v, f in found[0]}
+    assert by_key["hot", "5"] == "unique_key" and by_key["None", "1"] == "not_null_k,unique_key" and by_key["b", "-1"] == "positive,unique_key" and by_key["a", "1"] == "" and by_key["c", "None"] == ""
+
+
+def test_repeated_keys_of_an_empty_table(spark):
+    assert tables.validated(spark.createDataFrame([], "k string, v int"), {}, ["k"]).collect() == []
