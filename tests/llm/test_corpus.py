@@ -229,6 +229,45 @@ def test_passages_that_are_not_like_their_first_holder(spark, edits):
     assert len(alike & pairs) >= 0.95 * groups and pairs <= alike
 
 
+def test_passages_behind_many_unlike_holders_of_their_keys(spark):
+    """Thirty documents hold a passage with words changed, none like another; two later ones are like each other only."""
+    rows, groups, before = [], 12, 30
+    rng = np.random.default_rng(5)
+    for g in range(groups):
+        passage = prose(50_000 + g, 60, vocabulary(50_000 + g)).split()
+        held = []
+        for k in range(before):
+            w = list(passage)
+            for e, at in enumerate(rng.choice(np.arange(2, 58), 4, replace=False)):
+                w[at] = f"other{g}x{k}x{e}"
+            held.append(w)
+        last = list(passage)
+        last[30] = f"changed{g}"
+        for k, p in enumerate((*held, passage, last)):
+            own = [prose(60_000 + 100 * g + 2 * k + s, 30, vocabulary(60_000 + 100 * g + 2 * k + s)) for s in (0, 1)]
+            rows.append((100 * g + k, f"{own[0]} {' '.join(p)} {own[1]}", "s"))
+    pairs = {(r.doc_id, r.ref_doc_id) for r in compact_windows.repeated_passages(docs(spark, rows)).collect()}
+    want = {(100 * g + before + 1, 100 * g + before) for g in range(groups)}
+    print("found", len(want & pairs), "of", groups)
+    assert len(want & pairs) >= 0.9 * groups
+
+
+def test_crowded_keys_lose_no_alike_pair(spark, monkeypatch):
+    """Places of crowded keys are looked up by further shingles that they share; that finds what all pairs find."""
+    rows, phrase = [], prose(70_000, 40, vocabulary(70_000)).split()
+    for k in range(40):
+        own = [prose(71_000 + 2 * k + s, 30, vocabulary(71_000 + 2 * k + s)) for s in (0, 1)]
+        tail = prose(72_000 + k // 2, 20, vocabulary(72_000 + k // 2)).split()
+        if k % 2:
+            tail[2] = f"changed{k}"
+        rows.append((k, f"{own[0]} {' '.join([*phrase, *tail])} {own[1]}", "s"))
+    found = []
+    for most in (10**9, 0):
+        monkeypatch.setattr(compact_windows, "CROWD", most)
+        found.append({(r.doc_id, r.start, r.n_words, r.ref_doc_id, r.ref_start) for r in compact_windows.repeated_passages(docs(spark, rows)).collect()})
+    assert found[0] == found[1] and sum(x[0] % 2 and x[3] == x[0] - 1 for x in found[0]) >= 18
+
+
 def test_centres_are_window_minima():
     values = np.random.default_rng(2).integers(0, 50, 300).astype(np.uint64)
     want = set()
