@@ -9,6 +9,7 @@ from fractions import Fraction
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -268,6 +269,21 @@ def test_crowded_keys_lose_no_alike_pair(spark, monkeypatch):
     assert found[0] == found[1] and sum(x[0] % 2 and x[3] == x[0] - 1 for x in found[0]) >= 18
 
 
+def test_alike_stretches_always_share_a_seed():
+    ids, texts = [], []
+    for g in range(1000):
+        passage = prose(90_000 + g, 55, vocabulary(g % 7)).split()
+        for k in range(2):
+            ids.append(2 * g + k)
+            texts.append(" ".join([*passage[:27], f"changed{k}", *passage[27:]]))
+    held = {}
+    for b in compact_windows._windows([pa.record_batch({"doc_id": pa.array(ids), "text": pa.array(texts)})]):
+        for r in b.to_pylist():
+            held.setdefault(r["key"], set()).add(r["doc"])
+    met = {d // 2 for x in held.values() for d in x if d ^ 1 in x}
+    assert len(met) == 1000
+
+
 def test_centres_are_window_minima():
     values = np.random.default_rng(2).integers(0, 50, 300).astype(np.uint64)
     want = set()
