@@ -269,6 +269,25 @@ def test_crowded_keys_lose_no_alike_pair(spark, monkeypatch):
     assert found[0] == found[1] and sum(x[0] % 2 and x[3] == x[0] - 1 for x in found[0]) >= 18
 
 
+def test_tiles_meet_all_alike_places_in_few_rows():
+    """Near copies of a passage with words changed, put in or left out: pairs found equal brute force, and only alike ones become rows."""
+    rng, passage, held = np.random.default_rng(8), prose(95_000, 160, vocabulary(95_000)).split(), []
+    for k in range(150):
+        w, edits = list(passage), rng.integers(0, 9)
+        for at in np.sort(rng.choice([*range(70), *range(90, 160)], edits, replace=False))[::-1]:
+            w[at : at + 1] = ([f"other{k % 40}x{at}"], [], [w[at], f"more{k}"])[rng.integers(0, 3)]
+        at = w.index(passage[74])
+        hashes = np.array([zlib.crc32(x.encode()) & 0xFFFF for x in w], np.uint16)
+        held.append({"doc": k, "at": at, "seen": hashes[max(0, at - compact_windows.CONTEXT) : at + compact_windows.CONTEXT + compact_windows.SHINGLE].tobytes(), "but": [3] if k == 9 else None})
+    seen = [np.frombuffer(x["seen"], np.uint16) for x in held]
+    alike = {(b, a) for b in range(150) for a in range(b) if compact_windows.stretch(seen[b], seen[a], min(held[b]["at"], compact_windows.CONTEXT), min(held[a]["at"], compact_windows.CONTEXT))} - {(9, 3)}
+    found = lambda every: [(r[0], r[2]) for r in compact_windows._met(held, held[::-1], every, 50, 80)]
+    assert set(found(True)) == alike and 500 < len(alike) < 150 * 149 // 2 - 500
+    assert found(False) == [(b, min(a for c, a in alike if c == b)) for b in sorted({b for b, _ in alike})]
+    batch = pa.RecordBatch.from_arrays([pa.array([held]), pa.array([held]), pa.array([False])], names=["own", "others", "every"])
+    assert sum(b.num_rows for b in compact_windows._tiles(50, 80)([batch])) == len({b for b, _ in alike})
+
+
 def test_alike_stretches_always_share_a_seed():
     ids, texts = [], []
     for g in range(1000):
