@@ -288,6 +288,26 @@ def test_tiles_meet_all_alike_places_in_few_rows():
     assert sum(b.num_rows for b in compact_windows._tiles(50, 80)([batch])) == len({b for b, _ in alike})
 
 
+def test_tiles_compare_few_unlike_places_in_full(monkeypatch):
+    """Places that share a phrase just too short for a passage, among words of their own or one word over and over: pairs found equal brute force, and those that no gap could make longer aren't compared in full."""
+    phrase, held = [f"phrase{x}" for x in range(45)], []
+    for k in range(120):
+        before, behind = ([f"own{k}x{s}x{x if k % 3 else 0}" for x in range(120)] for s in range(2))
+        w = [*before, *phrase[: 45 - k % 5 * (k % 10 < 8)], *behind]
+        if k % 10 >= 8:  # the passage goes on in its like
+            w[165:200] = [f"more{k // 10}x{x if k % 20 < 10 else x % 3}" for x in range(35)]
+            w[170 + k % 3] = "changed"
+        hashes = np.array([zlib.crc32(x.encode()) & 0xFFFF for x in w], np.uint16)
+        held.append({"doc": k, "at": 125, "seen": hashes[125 - compact_windows.CONTEXT : 125 + compact_windows.CONTEXT + compact_windows.SHINGLE].tobytes(), "but": [98] if k == 99 else None})
+    seen, at, whole = [np.frombuffer(x["seen"], np.uint16) for x in held], compact_windows.CONTEXT, compact_windows._stretch
+    alike = {(b, a) for b in range(120) for a in range(b) if compact_windows.stretch(seen[b], seen[a], at, at) and a not in (held[b]["but"] or ())}
+    calls = []
+    monkeypatch.setattr(compact_windows, "_stretch", lambda *a: calls.append(a) or whole(*a))
+    assert {(r[0], r[2]) for r in compact_windows._met(held, held, True, 50, 80)} == alike
+    print("alike", len(alike), "in full", len(calls))
+    assert len(alike) >= 8 and len(calls) <= 2 * len(alike) + 20
+
+
 def test_alike_stretches_always_share_a_seed():
     ids, texts = [], []
     for g in range(1000):
