@@ -41,6 +41,35 @@ def test_first_captures_stay_over_runs(spark, tmp_path):
     assert sorted(map(tuple, same.collect())) == [("a", t(3), 2), ("b", t(1), 3)]
 
 
+def test_first_captures_hold_on_as_partitions_change(spark, tmp_path):
+    """A session with other shuffle partitions goes on with the state as it is dealt; of a key's rows over many files the earliest passes, ties by their text, and rows stay in the JVM."""
+    raw, table, state, got = *(str(tmp_path / x) for x in ("raw", "t", "c")), {}
+    kept, name, check = {}, "spark.sql.shuffle.partitions", "spark.sql.streaming.unsupportedOperationCheck"
+    before, checked = spark.conf.get(name), spark.conf.get(check)
+    try:
+        for n, parts in enumerate(("4", "7", "2")):
+            spark.conf.set(name, parts)
+            drop = [(f"k{i % (100 + 50 * n)}", None if i % 11 == 0 else t(i * 7919 % 37 + 10 * (2 - n)), i * 31 % 1000) for i in range(2000)]
+            spark.createDataFrame(drop, SCHEMA).repartition(13).write.parquet(f"{raw}/{n}")
+
+            def put(batch, number):
+                assert batch.rdd.getNumPartitions() == 4  # as the first run dealt the state
+                for r in batch.collect():
+                    assert r.k not in got
+                    got[r.k] = tuple(r)
+
+            first_capture.promote_first(spark, raw, SCHEMA, table, state, ["k"], "at", put=put)
+            assert (spark.conf.get(name), spark.conf.get(check)) == (parts, checked)
+            assert first_capture._dealt(spark, state) == {name: "4"}
+            for k in {r[0] for r in drop} - set(kept):
+                kept[k] = min((r for r in drop if r[0] == k), key=lambda r: (r[1] is None, r[1] or t(0), str(r[2])))
+            assert got == kept and len(kept) == 100 + 50 * n
+    finally:
+        spark.conf.set(name, before)
+    plan = first_capture.first_captures(spark.readStream.schema(SCHEMA).parquet(f"{raw}/0"), ["k"], "at")._jdf.queryExecution().analyzed().toString()
+    assert "Deduplicate" in plan and "Python" not in plan and "TransformWithState" not in plan
+
+
 def bars(spark, rows):
     return spark.createDataFrame([(k, date(2024, 1, d), c, c + 1, c - 1, c, 10, t(m)) for k, d, c, m in rows], "ticker string, date date, open double, high double, low double, close double, volume long, ingested_at timestamp")
 
