@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import compact_windows, context_mixing, language_crf, licenses, line_rules, mixing, no_random_access, packing, quality_trees, setsketch
+from ledgerline.llm import _spark, compact_windows, context_mixing, language_crf, licenses, line_rules, mixing, no_random_access, packing, quality_trees, setsketch
 
 ODD = [(1, None, None), (2, "", "s"), (3, " \n ", "s"), (4, "one two", "s"), (4, "one two", "s"), (5, "x" * 300_000, None), (6, "Dé jà vu — ünïcode ☃ text.\n" * 40, "t"), (None, "no id here at all", "t")]
 
@@ -269,6 +269,25 @@ def test_crowded_keys_lose_no_alike_pair(spark, monkeypatch):
     assert found[0] == found[1] and sum(x[0] % 2 and x[3] == x[0] - 1 for x in found[0]) >= 18
 
 
+def test_crowds_list_every_alike_pair(spark, monkeypatch):
+    """Forty near copies of a passage, some of them too far apart: each is listed with all earlier ones that it is like, also if their seed has more places than a row."""
+    passage, rng = prose(73_000, 60, vocabulary(73_000)).split(), np.random.default_rng(11)
+    rows = []
+    for k in range(40):
+        w = list(passage)
+        for at in rng.choice([*range(20), *range(40, 60)], k % 3, replace=False):
+            w[at] = f"other{k}x{at}"
+        rows.append((k, f"{prose(74_000 + k, 40, vocabulary(74_000 + k))} {' '.join(w)} {prose(75_000 + k, 40, vocabulary(75_000 + k))}", "s"))
+    hashes = [np.array([zlib.crc32(x.encode()) & 0xFFFF for x in t.split()], np.uint16) for _, t, _ in rows]
+    alike = {(b, a) for b in range(40) for a in range(b) if compact_windows.stretch(hashes[b], hashes[a], 64, 64)}
+    assert 200 < len(alike) < 40 * 39 // 2
+    members = spark.createDataFrame([(7, k, 64, True) for k in range(40)], "g long, doc long, at long, own boolean")
+    for most in (8, 10**9):
+        monkeypatch.setattr(compact_windows, "CROWD", most)
+        found = compact_windows._further(docs(spark, rows), _spark.Stash(members), spark.createDataFrame([], "doc long, doc2 long"), 50, 80)
+        assert {(r.doc, r.doc2) for f in found for r in f.read().collect()} == alike
+
+
 def test_tiles_meet_all_alike_places_in_few_rows():
     """Near copies of a passage with words changed, put in or left out: pairs found equal brute force, and only alike ones become rows."""
     rng, passage, held = np.random.default_rng(8), prose(95_000, 160, vocabulary(95_000)).split(), []
