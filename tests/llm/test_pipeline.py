@@ -78,6 +78,21 @@ def test_substring_stage_takes_later_places_only(spark):
     assert got[0][0] == rows[0][1] and got[9][0] is None
 
 
+def test_substring_stage_takes_all_that_any_earlier_document_holds(spark, monkeypatch):
+    """Of three near copies the later two go on alike for some words: these go with the third, though the first, which it is like too, ends before them."""
+    monkeypatch.setattr(compact_windows, "CROWD", 2)  # each key has more places
+    rows, groups = [], 12
+    for g in range(groups):
+        passage = prose(80_000 + g, 68, vocabulary(80_000 + g)).split()
+        held = [passage[:30], passage[31:60], *([*passage[:30], f"changed{g}x{k}", *passage[31 : 68 if k else 60]] for k in range(3))]
+        rows += [(10 * g + k, f"{prose(81_000 + 20 * g + k, 40, vocabulary(81_000 + 20 * g + k))} {' '.join(p)} {prose(82_000 + 20 * g + k, 40, vocabulary(82_000 + 20 * g + k))}", "s") for k, p in enumerate(held)]
+    texts = {i: t.split() for i, t, _ in rows}
+    got = {r.doc_id: r.text.split() for r in corpus_pipeline.substring_dedup(spark, documents(spark, rows), "").collect()}
+    for i, words in texts.items():
+        gone = [*words[:40], *words[100:]] if i % 10 == 3 else [*words[:40], *words[108:]] if i % 10 == 4 else words
+        assert got[i] == gone, (i, len(words), len(got[i]))
+
+
 def test_mixing_and_packing_stages(spark):
     rows = [(i, prose(i, 30), "big" if i % 4 else None) for i in range(300)]
     mixed = corpus_pipeline.source_mixing(spark, documents(spark, rows), "")
